@@ -51,12 +51,16 @@ def read_users(spark: SparkSession, path: str) -> DataFrame:
 
 def read_mcc(spark: SparkSession, path: str) -> DataFrame:
     """Merchant categories from one JSON object that maps code to name."""
-    return unpivot_codes(spark.read.option("multiLine", True).json(path))
+    return codes_from_json(spark.read.text(path, wholetext=True))
 
 
-def unpivot_codes(wide: DataFrame) -> DataFrame:
-    """One column per code to one row (``mcc``, ``merchant_category``) per code."""
-    return wide.unpivot([], [F.col(f"`{c}`") for c in wide.columns], "mcc", "merchant_category")
+def codes_from_json(objects: DataFrame) -> DataFrame:
+    """One row (``mcc``, ``merchant_category``) per entry of the JSON objects in ``value``.
+
+    Parsed as a map, so the codes need not become columns and no pass over the file guesses types.
+    """
+    entries = F.from_json("value", "map<string,string>")
+    return objects.select(F.explode(entries).alias("mcc", "merchant_category"))
 
 
 def read_typed_transactions(spark: SparkSession, path: str) -> DataFrame:
