@@ -9,6 +9,7 @@ from ledgerlens.functions.flags import has_error, is_night, is_online
 from ledgerlens.functions.money import cents, dollars, parse_money, with_amount
 from ledgerlens.functions.ratios import mean_amount, mean_cents, percent
 from ledgerlens.operators.errors import error_rates
+from ledgerlens.plans.staging import stage
 
 HIGH_AMOUNT = 200
 VERY_HIGH_AMOUNT = 500
@@ -30,10 +31,9 @@ ERROR_SUSPICION = {
 }
 
 
-def _level(value: Column, levels: dict[str, list[str]], chain=F) -> Column:
-    for level, members in levels.items():
-        chain = chain.when(value.isin(*members), level)
-    return chain
+def _level(value: Column, levels: dict[str, list[str]]) -> Column:
+    """Name of the level that lists ``value``; null when none does."""
+    return F.coalesce(*[F.when(value.isin(*members), level) for level, members in levels.items()])
 
 
 def typed_cards(cards: DataFrame, date_format: str = "MM/yyyy") -> DataFrame:
@@ -91,9 +91,9 @@ def mcc_risk_level(categorised: DataFrame, levels: dict[str, list[str]] | None =
 def error_suspicion_level(transactions: DataFrame,
                           levels: dict[str, list[str]] | None = None) -> DataFrame:
     """Suspicion of the error text. Several causes at once are moderate; no error gives null."""
-    several = F.when(F.contains(F.col("errors"), F.lit(",")), "MODERATE")
-    return transactions.withColumn(
-        "error_suspicion", _level(F.col("errors"), levels or ERROR_SUSPICION, several))
+    level = (F.when(F.contains(F.col("errors"), F.lit(",")), "MODERATE")
+             .otherwise(_level(F.col("errors"), levels or ERROR_SUSPICION)))
+    return transactions.withColumn("error_suspicion", level)
 
 
 def error_causes(transactions: DataFrame) -> DataFrame:
@@ -139,17 +139,17 @@ def card_error_rate_feature(transactions: DataFrame) -> DataFrame:
     return error_rates(transactions, "card_id").select("card_id", "error_pct")
 
 
-def card_attributes(cards: DataFrame, transactions: DataFrame, as_of: str | Column,
+def card_attributes(cards: DataFrame, transactions: DataFrame, as_of: str,
                     card_key: str = "card_id") -> DataFrame:
     """Dark web, chip, age in years, credit limit and utilisation of typed cards.
 
-    Utilisation is the spending of the month of ``as_of`` as a percentage of the limit.
+    Utilisation is the spending of the month of ``as_of`` as a percentage of the limit. The month is
+    compared with the raw date, so the scan skips other months.
     """
-    day = F.to_date(F.lit(as_of)) if isinstance(as_of, str) else as_of
+    day = F.to_date(F.lit(as_of))
     month = F.trunc(day, "month")
-    when = F.to_date("date")
     spent = (with_amount(transactions)
-             .filter((when >= month) & (when < F.add_months(month, 1)))
+             .filter((F.col("date") >= month) & (F.col("date") < F.add_months(month, 1)))
              .groupBy(F.col("card_id").alias(card_key))
              .agg(F.sum(cents(F.col("amount_clean"))).alias("spent")))
     limit = cents(F.col("credit_limit"))
@@ -164,12 +164,14 @@ def card_attributes(cards: DataFrame, transactions: DataFrame, as_of: str | Colu
 def amount_vs_client_mean(transactions: DataFrame) -> DataFrame:
     """Distance and ratio of each amount to the client's mean.
 
-    The means are joined, not computed in a window per client: a window would gather all rows of a
-    client in one task, the join splits a busy client at run time.
+    The means are joined, not computed in a window per client, which would gather all rows of a
+    client in one task. They are staged first: with a table on that side Spark broadcasts it if it is
+    small, and otherwise shuffles both sides and can split a busy client at run time.
     """
     c = cents(F.col("amount_clean"))
     facts = with_amount(transactions).select("id", "client_id", "amount_clean")
-    means = facts.groupBy("client_id").agg(mean_cents(F.sum(c), F.count(c)).alias("mean_c"))
+    means = stage(facts.groupBy("client_id").agg(
+        mean_cents(F.sum(c), F.count(c)).alias("mean_c")), "client_means")
     return facts.join(means, "client_id", "left").select(
         "id", "client_id", F.col("amount_clean").cast("double").alias("amount"),
         dollars(F.col("mean_c")).alias("client_mean"),

@@ -9,6 +9,7 @@ from ledgerlens.functions.flags import ONLINE, has_error, is_physical_city
 from ledgerlens.functions.money import cents, dollars, with_amount
 from ledgerlens.functions.ratios import mean_amount, percent
 from ledgerlens.operators.errors import error_rates
+from ledgerlens.operators.rollups import ValueSets
 
 
 def card_days(transactions: DataFrame) -> DataFrame:
@@ -46,40 +47,28 @@ def card_error_ratio(transactions: DataFrame, top: int | None = None) -> DataFra
 
 
 def card_profile(transactions: DataFrame) -> DataFrame:
-    """Everything the card reports need, one row per card.
-
-    The facts are grouped by (card, day) and by (card, city) in one pass; the second grouping reads
-    those rows only. Neither step gathers the rows of one card in one task: the first spreads a
-    busy card over its days and cities, the second adds partial results.
-    """
-    parts = (
-        with_amount(transactions)
-        .select("card_id", "client_id", F.to_date("date").alias("day"), "merchant_city",
-                cents(F.col("amount_clean")).alias("c"), has_error().alias("failed"))
-        .groupingSets([["card_id", "day"], ["card_id", "merchant_city"]],
-                      "card_id", "day", "merchant_city")
-        .agg(F.grouping("merchant_city").alias("is_day"),
-             F.count("*").alias("n"), F.sum("c").alias("c"), F.count("c").alias("valid"),
-             F.max("c").alias("max_c"), F.count_if("failed").alias("failed"),
-             F.min("client_id").alias("client_id")))
-    day = F.col("is_day") == 1
-    city = F.col("is_day") == 0
-
-    def of_days(name: str):
-        return F.when(day, F.col(name))
-
-    return parts.groupBy("card_id").agg(
-        F.min(of_days("client_id")).alias("client_id"),
-        F.sum(of_days("n")).alias("transactions"),
-        F.sum(of_days("c")).alias("cents"),
-        F.sum(of_days("valid")).alias("valid"),
-        F.max(of_days("max_c")).alias("max_cents"),
-        F.sum(of_days("failed")).alias("errors"),
-        F.count_if(day & F.col("day").isNotNull()).alias("active_days"),
-        F.max(of_days("n")).alias("max_daily_count"),
-        F.max(of_days("c")).alias("max_daily_cents"),
-        F.count_if(city & F.col("merchant_city").isNotNull()).alias("cities"),
-        F.count_if(city & is_physical_city()).alias("physical_cities"),
+    """Everything the card reports need, one row per card, from one pass over the facts."""
+    facts = with_amount(transactions).select(
+        "card_id", "client_id", F.to_date("date").alias("day"), "merchant_city",
+        cents(F.col("amount_clean")).alias("c"), has_error().alias("failed"))
+    sets = ValueSets(
+        facts, "card_id", ["day", "merchant_city"],
+        F.count("*").alias("n"), F.sum("c").alias("c"), F.count("c").alias("valid"),
+        F.max("c").alias("max_c"), F.count_if("failed").alias("failed"),
+        F.min("client_id").alias("client_id"))
+    of_day = sets.measure
+    return sets.groups.groupBy("card_id").agg(
+        F.min(of_day("client_id")).alias("client_id"),
+        F.sum(of_day("n")).alias("transactions"),
+        F.sum(of_day("c")).alias("cents"),
+        F.sum(of_day("valid")).alias("valid"),
+        F.max(of_day("max_c")).alias("max_cents"),
+        F.sum(of_day("failed")).alias("errors"),
+        sets.distinct("day").alias("active_days"),
+        F.max(of_day("n")).alias("max_daily_count"),
+        F.max(of_day("c")).alias("max_daily_cents"),
+        sets.distinct("merchant_city").alias("cities"),
+        sets.distinct("merchant_city", is_physical_city()).alias("physical_cities"),
     )
 
 

@@ -10,30 +10,39 @@ from ledgerlens.functions.flags import has_error, is_night, is_online
 from ledgerlens.functions.money import cents, dollars, rounded_cents, with_amount
 from ledgerlens.functions.ratios import mean_amount
 from ledgerlens.labels import ENGLISH, Labels
+from ledgerlens.operators.rollups import ValueSets
 from ledgerlens.plans.staging import stage
 
 PARTS = ("volume", "amount", "geography", "error", "night", "diversity")
 
 
 def client_indicators(transactions: DataFrame) -> DataFrame:
-    """Activity, amounts, distinct cards, cities, days and merchants, errors per client.
-
-    The distinct counts group by (client, value) first, so a client with very many rows is spread
-    over its values and no task holds all of them.
-    """
-    c = cents(F.col("amount_clean"))
-    return with_amount(transactions).groupBy("client_id").agg(
-        F.count("*").alias("transactions"),
-        dollars(F.sum(c)).alias("total_amount"),
-        mean_amount(F.sum(c), F.count(c)).alias("mean_amount"),
-        dollars(F.max(c)).alias("max_amount"),
-        F.count_distinct("card_id").alias("cards"),
-        F.count_distinct("merchant_city").alias("cities"),
-        F.count_distinct(F.to_date("date")).alias("active_days"),
-        F.count_if(has_error()).alias("errors"),
-        F.count_if(is_night()).alias("night"),
-        F.count_if(is_online()).alias("online"),
-        F.count_distinct("merchant_id").alias("merchants"),
+    """Activity, amounts, distinct cards, cities, days and merchants, errors per client."""
+    facts = with_amount(transactions).select(
+        "client_id", "card_id", "merchant_city", F.to_date("date").alias("day"), "merchant_id",
+        cents(F.col("amount_clean")).alias("c"), has_error().alias("failed"),
+        is_night().alias("night"), is_online().alias("online"))
+    sets = ValueSets(
+        facts, "client_id", ["card_id", "merchant_city", "day", "merchant_id"],
+        F.count("*").alias("n"), F.sum("c").alias("c"), F.count("c").alias("valid"),
+        F.max("c").alias("max_c"), F.count_if("failed").alias("failed"),
+        F.count_if("night").alias("night"), F.count_if("online").alias("online"))
+
+    def total(name: str) -> Column:
+        return F.sum(sets.measure(name))
+
+    return sets.groups.groupBy("client_id").agg(
+        total("n").alias("transactions"),
+        dollars(total("c")).alias("total_amount"),
+        mean_amount(total("c"), total("valid")).alias("mean_amount"),
+        dollars(F.max(sets.measure("max_c"))).alias("max_amount"),
+        sets.distinct("card_id").alias("cards"),
+        sets.distinct("merchant_city").alias("cities"),
+        sets.distinct("day").alias("active_days"),
+        total("failed").alias("errors"),
+        total("night").alias("night"),
+        total("online").alias("online"),
+        sets.distinct("merchant_id").alias("merchants"),
     )
 
 

@@ -52,9 +52,17 @@ def _on_transactions(function, **parameters) -> Query:
     return run
 
 
+def _without_places(function, **parameters) -> Query:
+    """For analyses that use neither city nor state."""
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        return portable(function(driver_tables.transactions(spark, folder, places=False),
+                                 **parameters))
+    return run
+
+
 def _with_codes(function, **parameters) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return portable(function(driver_tables.transactions(spark, folder),
+        return portable(function(driver_tables.transactions(spark, folder, places=False),
                                  driver_tables.mcc_codes(spark, folder), **parameters))
     return run
 
@@ -68,13 +76,13 @@ def _on_scores(function, **parameters) -> Query:
 
 
 def _classes(spark: SparkSession, folder: str) -> DataFrame:
-    return stage(compare.client_classes(_scores(spark, folder)), "client_classes")
+    return compare.client_classes(_scores(spark, folder))
 
 
-def _on_classes(function, **parameters) -> Query:
+def _on_classes(function, places: bool = False) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return portable(function(driver_tables.transactions(spark, folder),
-                                 _classes(spark, folder), **parameters))
+        return portable(function(driver_tables.transactions(spark, folder, places),
+                                 _classes(spark, folder)))
     return run
 
 
@@ -119,10 +127,9 @@ def _labelled_metrics(spark: SparkSession, folder: str) -> DataFrame:
 
 def _streaming_card_velocity(spark: SparkSession, folder: str) -> DataFrame:
     """Events read as a stream until all are processed; card days above a threshold."""
-    source = f"{folder}/event[s].parquet"
-    events = spark.readStream.schema(spark.read.parquet(source).schema).parquet(source)
-    live = driver_tables.map_events(events, spark.read.parquet(f"{folder}/nation.parquet"),
-                                    spark.read.parquet(f"{folder}/region.parquet"))
+    events = (spark.readStream.schema(driver_tables.SCHEMAS["events"])
+              .parquet(f"{folder}/event[s].parquet"))
+    live = driver_tables.map_events(events)
     path = f"{staging_folder(spark)}/daily-activity-{uuid.uuid4().hex}"
     query = daily_activity.start_daily_activity(live, path, f"{path}-checkpoint")
     query.awaitTermination()
@@ -143,26 +150,26 @@ def queries() -> dict[str, Query]:
         "transactions_clean": _on_transactions(amounts.transactions_clean),
         "mcc_dimension": _mcc_dimension,
         # volume and quality
-        "volumetry": _on_transactions(quality.volumetry),
+        "volumetry": _without_places(quality.volumetry),
         "missing_value_profile": _on_transactions(quality.missing_value_profile),
-        "non_positive_amounts": _on_transactions(quality.non_positive_amounts),
-        "non_positive_summary": _on_transactions(quality.non_positive_summary),
+        "non_positive_amounts": _without_places(quality.non_positive_amounts),
+        "non_positive_summary": _without_places(quality.non_positive_summary),
         "transactions_without_mcc": _on_transactions(quality.transactions_without_mcc),
-        "without_mcc_summary": _on_transactions(quality.without_mcc_summary),
+        "without_mcc_summary": _without_places(quality.without_mcc_summary),
         "transactions_with_errors": _on_transactions(quality.transactions_with_errors),
-        "with_errors_summary": _on_transactions(quality.with_errors_summary),
-        "error_type_counts": _on_transactions(quality.error_type_counts),
-        "quality_summary": _on_transactions(quality.quality_summary),
+        "with_errors_summary": _without_places(quality.with_errors_summary),
+        "error_type_counts": _without_places(quality.error_type_counts),
+        "quality_summary": _without_places(quality.quality_summary),
         # amounts
-        "amount_statistics": _on_transactions(amounts.amount_statistics),
-        "amount_median": _on_transactions(amounts.amount_median),
-        "amount_quartiles": _on_transactions(amounts.amount_quartiles),
-        "amount_bands": _on_transactions(amounts.amount_bands),
+        "amount_statistics": _without_places(amounts.amount_statistics),
+        "amount_median": _without_places(amounts.amount_median),
+        "amount_quartiles": _without_places(amounts.amount_quartiles),
+        "amount_bands": _without_places(amounts.amount_bands),
         # time
         "temporal_columns": _temporal_columns,
-        "transactions_by_hour": _on_transactions(temporal.transactions_by_hour),
-        "transactions_by_weekday": _on_transactions(temporal.transactions_by_weekday),
-        "transactions_by_month": _on_transactions(temporal.transactions_by_month),
+        "transactions_by_hour": _without_places(temporal.transactions_by_hour),
+        "transactions_by_weekday": _without_places(temporal.transactions_by_weekday),
+        "transactions_by_month": _without_places(temporal.transactions_by_month),
         # merchant categories
         "transactions_with_category": _with_codes(
             lambda t, m: enrich.transactions_with_category(t, m).select(
@@ -170,26 +177,26 @@ def queries() -> dict[str, Query]:
         "top_categories_by_volume": _with_codes(enrich.top_categories_by_volume),
         "category_amounts": _with_codes(enrich.category_amounts),
         # errors
-        "error_type_share": _on_transactions(errors.error_type_share),
-        "card_error_rate": _on_transactions(errors.card_error_rate),
-        "cards_all_errors": _on_transactions(errors.cards_all_errors),
-        "client_error_rate": _on_transactions(errors.client_error_rate),
-        "client_error_rate_bands": _on_transactions(errors.client_error_rate_bands),
+        "error_type_share": _without_places(errors.error_type_share),
+        "card_error_rate": _without_places(errors.card_error_rate),
+        "cards_all_errors": _without_places(errors.cards_all_errors),
+        "client_error_rate": _without_places(errors.client_error_rate),
+        "client_error_rate_bands": _without_places(errors.client_error_rate_bands),
         # card indicators: whole tables, and the reports of the highest rows
-        "card_day_counts": _on_transactions(indicators.card_day_counts),
-        "card_day_counts_top": _on_transactions(indicators.card_day_counts, top=15),
-        "card_day_amounts": _on_transactions(indicators.card_day_amounts),
-        "card_day_amounts_top": _on_transactions(indicators.card_day_amounts, top=15),
+        "card_day_counts": _without_places(indicators.card_day_counts),
+        "card_day_counts_top": _without_places(indicators.card_day_counts, top=15),
+        "card_day_amounts": _without_places(indicators.card_day_amounts),
+        "card_day_amounts_top": _without_places(indicators.card_day_amounts, top=15),
         "card_city_counts": _on_transactions(indicators.card_city_counts),
         "card_city_counts_top": _on_transactions(indicators.card_city_counts, top=15),
-        "card_error_ratio": _on_transactions(indicators.card_error_ratio),
-        "card_error_ratio_top": _on_transactions(indicators.card_error_ratio, top=15),
+        "card_error_ratio": _without_places(indicators.card_error_ratio),
+        "card_error_ratio_top": _without_places(indicators.card_error_ratio, top=15),
         "card_indicators": _on_transactions(indicators.card_indicators),
         "card_indicators_top": _on_transactions(indicators.card_indicators, top=20),
         # suspicious cards
-        "suspects_by_daily_count": _on_transactions(suspicion.suspects_by_daily_count, **limits),
+        "suspects_by_daily_count": _without_places(suspicion.suspects_by_daily_count, **limits),
         "suspects_by_cities": _on_transactions(suspicion.suspects_by_cities, **limits),
-        "suspects_by_daily_amount": _on_transactions(suspicion.suspects_by_daily_amount, **limits),
+        "suspects_by_daily_amount": _without_places(suspicion.suspects_by_daily_amount, **limits),
         "suspicious_cards": _on_transactions(suspicion.suspicious_cards, **limits),
         "suspect_counts": _on_transactions(suspicion.suspect_counts, **limits),
         "suspect_details": _on_transactions(suspicion.suspect_details, **limits),
@@ -213,14 +220,14 @@ def queries() -> dict[str, Query]:
         "behaviour_flags": _columns(compare.behaviour_flags, "id", "has_error", "is_online",
                                     "is_night", "is_weekend"),
         "classified_transactions": _on_classes(
-            lambda t, c: compare.classified_transactions(t, c).select(
+            lambda t, c: compare.classified_transactions(t, stage(c, "client_classes")).select(
                 "id", "client_id", "amount_clean", "has_error", "is_online", "is_night",
-                "is_weekend", "is_suspect")),
+                "is_weekend", "is_suspect"), places=True),
         "group_general_stats": _on_classes(compare.group_general_stats),
-        "group_purchase_behaviour": _on_classes(compare.group_purchase_behaviour),
+        "group_purchase_behaviour": _on_classes(compare.group_purchase_behaviour, places=True),
         "group_temporal_behaviour": _on_classes(compare.group_temporal_behaviour),
         "group_error_rate": _on_classes(compare.group_error_rate),
-        "group_geography": _on_classes(compare.group_geography),
+        "group_geography": _on_classes(compare.group_geography, places=True),
         "group_amount_bands": _on_classes(compare.group_amount_bands),
         "group_top_mcc": _on_classes(compare.group_top_mcc),
         "group_shares": _on_scores(lambda s: compare.group_shares(compare.client_classes(s))),
@@ -238,22 +245,22 @@ def queries() -> dict[str, Query]:
         "error_suspicion_level": _columns(features.error_suspicion_level, "id", "errors",
                                           "error_suspicion"),
         "client_amount_profile": _client_amount_profile,
-        "client_rates": _on_transactions(features.client_rates),
-        "client_mcc_profile": _on_transactions(features.client_mcc_profile),
-        "error_causes": _on_transactions(features.error_causes),
-        "card_error_rate_feature": _on_transactions(features.card_error_rate_feature),
+        "client_rates": _without_places(features.client_rates),
+        "client_mcc_profile": _without_places(features.client_mcc_profile),
+        "error_causes": _without_places(features.error_causes),
+        "card_error_rate_feature": _without_places(features.card_error_rate_feature),
         "card_attributes": lambda spark, folder: portable(features.card_attributes(
             features.typed_cards(driver_tables.cards(spark, folder)),
             driver_tables.transactions(spark, folder), AS_OF)),
-        "amount_vs_client_mean": _on_transactions(features.amount_vs_client_mean),
-        "time_since_previous": _on_transactions(sequences.time_since_previous),
-        "first_at_merchant": _on_transactions(sequences.first_at_merchant),
-        "first_in_mcc": _on_transactions(sequences.first_in_mcc),
-        "consecutive_errors": _on_transactions(sequences.consecutive_errors),
-        "velocity_1h": _on_transactions(sequences.velocity, seconds=3600),
-        "velocity_24h": _on_transactions(sequences.velocity, seconds=86400),
-        "hour_share": _on_transactions(temporal.hour_share),
-        "transactions_per_key": _on_transactions(quality.transactions_per_key),
+        "amount_vs_client_mean": _without_places(features.amount_vs_client_mean),
+        "time_since_previous": _without_places(sequences.time_since_previous),
+        "first_at_merchant": _without_places(sequences.first_at_merchant),
+        "first_in_mcc": _without_places(sequences.first_in_mcc),
+        "consecutive_errors": _without_places(sequences.consecutive_errors),
+        "velocity_1h": _without_places(sequences.velocity, seconds=3600),
+        "velocity_24h": _without_places(sequences.velocity, seconds=86400),
+        "hour_share": _without_places(temporal.hour_share),
+        "transactions_per_key": _without_places(quality.transactions_per_key),
         "labelled_metrics": _labelled_metrics,
         "streaming_card_velocity": _streaming_card_velocity,
     }

@@ -1,91 +1,105 @@
 """The shared test tables seen as transactions, merchant categories, cards and users.
 
-Every row of the source table is used. See FIXTURES.md for the mapping in words.
+Every row of the source table is used. See FIXTURES.md for the mapping in words. Schemas are given,
+so opening a table runs no job.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from ledgerlens.functions.flags import ONLINE
-
-
-def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{table}.parquet")
-
-
-def _money_text(value) -> F.Column:
-    return F.concat(F.lit("$"), value.cast("decimal(12,2)").cast("string"))
-
-
-def map_events(events: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
-    """Events as transactions; also used on a stream of events."""
-    k = F.get_json_object("props", "$.k").cast("int")
-    merchant = (F.col("event_id") * 7 + F.col("user_id")) % 500
-    places = (nation.join(region, nation.n_regionkey == region.r_regionkey, "left")
-              .select("n_nationkey", "n_name", "r_name"))
-    located = (events.withColumns({"k": k, "merchant_id": merchant})
-               .join(places, F.col("merchant_id") % 25 == F.col("n_nationkey"), "left"))
-    last_digit = F.col("event_id") % 10
-    card = F.when(last_digit < 7, 0).when(last_digit < 9, 1).otherwise(2)
-    online = F.col("event_type") == "click"
-    no_city = F.col("event_id") % 97 == 0
-    failed = ((F.col("event_type") == "error")
-              & ((F.col("event_id") % 5 == 0) | (F.col("user_id") % 7 == 0)))
-    cause = (F.when(F.col("k") < 62, "Insufficient Balance").when(F.col("k") < 77, "Bad PIN")
-             .when(F.col("k") < 89, "Technical Glitch")
-             .when(F.col("k") < 93, "Bad PIN,Insufficient Balance")
-             .when(F.col("k") < 97, "Bad CVV").otherwise(""))
-    return located.select(
-        F.col("event_id").alias("id"),
-        (F.col("ts") + F.make_ym_interval(F.lit(0), (F.col("user_id") % 12).cast("int")))
-        .alias("date"),
-        F.col("user_id").alias("client_id"),
-        (F.col("user_id") * 10 + card).alias("card_id"),
-        _money_text(F.when(F.col("event_id") % 20 == 0, -F.col("value"))
-                    .when(F.col("event_id") % 101 == 0, F.lit(0.0))
-                    .otherwise(F.col("value"))).alias("amount"),
-        "merchant_id",
-        F.when(online, ONLINE).when(no_city, "").otherwise(F.col("n_name")).alias("merchant_city"),
-        F.when(~online & ~no_city, F.col("r_name")).alias("merchant_state"),
-        F.when(F.col("k") % 20 == 19, None)
-        .otherwise(F.when(F.col("k") < 90, 3000 + F.col("k")).otherwise(2900 + F.col("k")))
-        .cast("int").alias("mcc"),
-        F.when(failed, cause).alias("errors"),
-    )
-
-
-def transactions(spark: SparkSession, folder: str) -> DataFrame:
-    return map_events(_read(spark, folder, "events"), _read(spark, folder, "nation"),
-                      _read(spark, folder, "region"))
+
+SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
+              "props string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+            "p_retailprice double",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+                "c_mktsegment string",
+}
+
+
+def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    return spark.read.schema(SCHEMAS[table]).parquet(f"{folder}/{table}.parquet")
+
+
+MONEY_TEXT = "concat('$', cast(cast({} as decimal(12,2)) as string))"
+
+TRANSACTION = {
+    "id": "event_id",
+    "date": "ts + make_ym_interval(0, cast(user_id % 12 as int))",
+    "client_id": "user_id",
+    "card_id": "user_id * 10 + CASE WHEN event_id % 10 < 7 THEN 0 WHEN event_id % 10 < 9 THEN 1 "
+               "ELSE 2 END",
+    "amount": MONEY_TEXT.format("CASE WHEN event_id % 20 = 0 THEN -value "
+                                "WHEN event_id % 101 = 0 THEN 0 ELSE value END"),
+    "merchant_id": "merchant",
+    "mcc": "CASE WHEN k % 20 = 19 THEN NULL WHEN k < 90 THEN 3000 + k ELSE 2900 + k END",
+    "errors": "CASE WHEN event_type = 'error' AND (event_id % 5 = 0 OR user_id % 7 = 0) THEN "
+              "CASE WHEN k < 62 THEN 'Insufficient Balance' WHEN k < 77 THEN 'Bad PIN' "
+              "WHEN k < 89 THEN 'Technical Glitch' WHEN k < 93 THEN 'Bad PIN,Insufficient Balance' "
+              "WHEN k < 97 THEN 'Bad CVV' ELSE '' END END",
+}
+
+PLACE = {
+    "merchant_city": "CASE WHEN event_type = 'click' THEN 'ONLINE' WHEN event_id % 97 = 0 THEN '' "
+                     "ELSE n_name END",
+    "merchant_state": "CASE WHEN event_type <> 'click' AND event_id % 97 <> 0 THEN r_name END",
+}
+
+
+def _select(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    return df.selectExpr(*[f"{expression} AS {name}" for name, expression in columns.items()])
+
+
+def map_events(events: DataFrame) -> DataFrame:
+    """Events as transactions without places; also used on a stream of events."""
+    return _select(events.selectExpr("*", "cast(get_json_object(props, '$.k') as int) AS k",
+                                     "(event_id * 7 + user_id) % 500 AS merchant"), TRANSACTION)
+
+
+def transactions(spark: SparkSession, folder: str, places: bool = True) -> DataFrame:
+    """Events as transactions. Analyses that use no city or state can leave the places out, since
+    Spark cannot know that joining them changes no row."""
+    events = read(spark, folder, "events")
+    if not places:
+        return map_events(events)
+    countries = (read(spark, folder, "nation")
+                 .join(read(spark, folder, "region").withColumnRenamed("r_regionkey", "n_regionkey"),
+                       "n_regionkey", "left")
+                 .selectExpr("n_nationkey AS country", "n_name", "r_name"))
+    located = events.selectExpr(
+        "*", "cast(get_json_object(props, '$.k') as int) AS k",
+        "(event_id * 7 + user_id) % 500 AS merchant",
+        "cast((event_id * 7 + user_id) % 25 as int) AS country").join(countries, "country", "left")
+    return _select(located, TRANSACTION | PLACE)
 
 
 def mcc_codes(spark: SparkSession, folder: str) -> DataFrame:
-    return _read(spark, folder, "part").select(
-        (3000 + F.col("p_partkey")).cast("string").alias("mcc"),
-        F.concat_ws(" ", "p_type", "p_brand").alias("merchant_category"))
+    return read(spark, folder, "part").selectExpr(
+        "cast(3000 + p_partkey as string) AS mcc",
+        "concat_ws(' ', p_type, p_brand) AS merchant_category")
 
 
 def cards(spark: SparkSession, folder: str) -> DataFrame:
     """One card per customer, every field as text."""
-    key = F.col("c_custkey")
-    month = F.lpad((key % 12 + 1).cast("string"), 2, "0")
-    yes_no = (lambda condition: F.when(condition, "YES").otherwise("NO"))
-    return _read(spark, folder, "customer").select(
-        (key * 10).alias("card_id"),
-        _money_text(F.abs("c_acctbal")).alias("credit_limit"),
-        yes_no(key % 4 != 0).alias("has_chip"),
-        yes_no(key % 50 == 0).alias("card_on_dark_web"),
-        F.concat(month, F.lit("/"), (2024 + key % 6).cast("string")).alias("expires"),
-        F.concat(month, F.lit("/"), (1995 + key % 25).cast("string")).alias("acct_open_date"))
+    month = "lpad(cast(c_custkey % 12 + 1 as string), 2, '0')"
+    return _select(read(spark, folder, "customer"), {
+        "card_id": "c_custkey * 10",
+        "credit_limit": MONEY_TEXT.format("abs(c_acctbal)"),
+        "has_chip": "if(c_custkey % 4 <> 0, 'YES', 'NO')",
+        "card_on_dark_web": "if(c_custkey % 50 = 0, 'YES', 'NO')",
+        "expires": f"concat({month}, '/', cast(2024 + c_custkey % 6 as string))",
+        "acct_open_date": f"concat({month}, '/', cast(1995 + c_custkey % 25 as string))",
+    })
 
 
 def users(spark: SparkSession, folder: str) -> DataFrame:
     """One user per customer, money as text."""
-    balance = F.abs("c_acctbal")
-    return _read(spark, folder, "customer").select(
-        F.col("c_custkey").alias("client_id"),
-        _money_text(balance * 3).alias("per_capita_income"),
-        _money_text(balance * 6).alias("yearly_income"),
-        _money_text(balance * 2).alias("total_debt"))
+    return _select(read(spark, folder, "customer"), {
+        "client_id": "c_custkey",
+        "per_capita_income": MONEY_TEXT.format("abs(c_acctbal) * 3"),
+        "yearly_income": MONEY_TEXT.format("abs(c_acctbal) * 6"),
+        "total_debt": MONEY_TEXT.format("abs(c_acctbal) * 2"),
+    })
