@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from ledgerlens.labels import ENGLISH, Labels
 
 
-def weekday_name(date: Column, labels: Labels = ENGLISH) -> Column:
-    """Name of the weekday; a null date has no name."""
+def weekday_name(number: Column, labels: Labels = ENGLISH) -> Column:
+    """Name of a weekday number (1 is Sunday). ``element_at`` on a constant array does not check
+    the index for null, so the missing number is kept apart."""
     names = F.array(*[F.lit(n) for n in labels.weekdays])
-    return F.element_at(names, F.dayofweek(date))
+    return F.when(number.isNotNull(), F.element_at(names, number))
 
 
 def epoch_second(date: Column) -> Column:

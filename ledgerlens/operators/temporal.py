@@ -15,7 +15,7 @@ def temporal_columns(transactions: DataFrame, labels: Labels = ENGLISH) -> DataF
     return transactions.withColumns({
         "hour": F.hour("date"),
         "weekday": F.dayofweek("date"),
-        "weekday_name": weekday_name(F.col("date"), labels),
+        "weekday_name": weekday_name(F.dayofweek("date"), labels),
         "month": F.month("date"),
     })
 
@@ -27,11 +27,10 @@ def transactions_by_hour(transactions: DataFrame) -> DataFrame:
 
 def transactions_by_weekday(transactions: DataFrame, labels: Labels = ENGLISH) -> DataFrame:
     """Sunday first."""
-    names = F.array(*[F.lit(n) for n in labels.weekdays])
     return (transactions.groupBy(F.dayofweek("date").alias("weekday"))
             .agg(F.count("*").alias("transactions"))
             .orderBy("weekday")
-            .select(F.element_at(names, F.col("weekday")).alias("weekday_name"), "transactions"))
+            .select(weekday_name(F.col("weekday"), labels).alias("weekday_name"), "transactions"))
 
 
 def transactions_by_month(transactions: DataFrame) -> DataFrame:
