@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.money import cents, dollars, with_amount
+from ledgerlens.plans.staging import stage
 
 SLICE = 1_000_000  # cents per slice of the value range
 
@@ -18,14 +19,15 @@ def exact_amount_quantiles(transactions: DataFrame, probabilities: list[float])
     """Rows (``probability``, ``amount``): the smallest amount that at least this share of the
     amounts does not exceed.
 
-    Works on the counts per distinct amount. Running totals are taken over slices of the value
-    range first and then inside the slices that hold a wanted rank. Both steps are bounded by the
-    money type: 12 digits give at most two million slices of at most a million values each.
+    Works on the counts per distinct amount, which are read twice and therefore staged. Running
+    totals are taken over slices of the value range first and then inside the slices that hold a
+    wanted rank. Both steps are bounded by the money type: 12 digits give at most two million slices
+    of at most a million values each.
     """
-    histogram = (with_amount(transactions).filter(F.col("amount_clean").isNotNull())
-                 .groupBy(cents(F.col("amount_clean")).alias("value"))
-                 .agg(F.count("*").alias("n"))
-                 .withColumn("slice", F.floor(F.col("value") / SLICE)))
+    histogram = stage(with_amount(transactions).filter(F.col("amount_clean").isNotNull())
+                      .groupBy(cents(F.col("amount_clean")).alias("value"))
+                      .agg(F.count("*").alias("n"))
+                      .withColumn("slice", F.floor(F.col("value") / SLICE)), "amount_counts")
     running = Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     wanted = F.array(*[
         F.struct(F.lit(p).alias("probability"), _target_rank(p, F.col("total")).alias("rank"))

@@ -5,45 +5,67 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.config import LevelCutoffs, RiskWeights
+from ledgerlens.config import LevelCutoffs, RiskWeights, SkewLimits
 from ledgerlens.functions.flags import has_error, is_night, is_online
 from ledgerlens.functions.money import cents, dollars, rounded_cents, with_amount
 from ledgerlens.functions.ratios import mean_amount
 from ledgerlens.labels import ENGLISH, Labels
 from ledgerlens.operators.rollups import ValueSets
+from ledgerlens.operators.skew import hot_keys, rows_of_hot_keys, rows_of_other_keys
 from ledgerlens.plans.staging import stage
 
 PARTS = ("volume", "amount", "geography", "error", "night", "diversity")
 
 
-def client_indicators(transactions: DataFrame) -> DataFrame:
-    """Activity, amounts, distinct cards, cities, days and merchants, errors per client."""
+def client_indicators(transactions: DataFrame, limits: SkewLimits = SkewLimits()) -> DataFrame:
+    """Activity, amounts, distinct cards, cities, days and merchants, errors per client.
+
+    An ordinary client's distinct values are merged as sets, which crosses the shuffle once. Clients
+    with more than ``limits.hot_rows`` rows are counted by (client, value) groups instead, so that
+    their values are spread over many tasks.
+    """
     facts = with_amount(transactions).select(
         "client_id", "card_id", "merchant_city", F.to_date("date").alias("day"), "merchant_id",
         cents(F.col("amount_clean")).alias("c"), has_error().alias("failed"),
-        is_night().alias("night"), is_online().alias("online"))
-    sets = ValueSets(
-        facts, "client_id", ["card_id", "merchant_city", "day", "merchant_id"],
-        F.count("*").alias("n"), F.sum("c").alias("c"), F.count("c").alias("valid"),
-        F.max("c").alias("max_c"), F.count_if("failed").alias("failed"),
-        F.count_if("night").alias("night"), F.count_if("online").alias("online"))
+        is_night().alias("is_night"), is_online().alias("is_online"))
+    hot = hot_keys(facts, "client_id", limits.hot_rows)
+    if hot is None:
+        sums = _sums_with_sets(facts)
+    else:
+        sums = _sums_with_sets(rows_of_other_keys(facts, hot, "client_id")).unionByName(
+            _sums_with_groups(rows_of_hot_keys(facts, hot, "client_id")))
+    return sums.select(
+        "client_id", "transactions", dollars(F.col("c")).alias("total_amount"),
+        mean_amount(F.col("c"), F.col("valid")).alias("mean_amount"),
+        dollars(F.col("max_c")).alias("max_amount"), "cards", "cities", "active_days", "errors",
+        "night", "online", "merchants")
+
+
+# Name of each distinct count and the column it counts.
+DISTINCT = {"cards": "card_id", "cities": "merchant_city", "active_days": "day",
+            "merchants": "merchant_id"}
+
+# How the measures of several groups of a client are combined.
+MEASURES = {"transactions": F.sum, "c": F.sum, "valid": F.sum, "max_c": F.max, "errors": F.sum,
+            "night": F.sum, "online": F.sum}
 
-    def total(name: str) -> Column:
-        return F.sum(sets.measure(name))
 
+def _measures() -> list[Column]:
+    return [F.count("*").alias("transactions"), F.sum("c").alias("c"), F.count("c").alias("valid"),
+            F.max("c").alias("max_c"), F.count_if("failed").alias("errors"),
+            F.count_if("is_night").alias("night"), F.count_if("is_online").alias("online")]
+
+
+def _sums_with_sets(facts: DataFrame) -> DataFrame:
+    distinct = [F.size(F.collect_set(v)).cast("bigint").alias(n) for n, v in DISTINCT.items()]
+    return facts.groupBy("client_id").agg(*_measures(), *distinct)
+
+
+def _sums_with_groups(facts: DataFrame) -> DataFrame:
+    sets = ValueSets(facts, "client_id", list(DISTINCT.values()), *_measures())
     return sets.groups.groupBy("client_id").agg(
-        total("n").alias("transactions"),
-        dollars(total("c")).alias("total_amount"),
-        mean_amount(total("c"), total("valid")).alias("mean_amount"),
-        dollars(F.max(sets.measure("max_c"))).alias("max_amount"),
-        sets.distinct("card_id").alias("cards"),
-        sets.distinct("merchant_city").alias("cities"),
-        sets.distinct("day").alias("active_days"),
-        total("failed").alias("errors"),
-        total("night").alias("night"),
-        total("online").alias("online"),
-        sets.distinct("merchant_id").alias("merchants"),
-    )
+        *[combine(sets.measure(name)).alias(name) for name, combine in MEASURES.items()],
+        *[sets.distinct(v).alias(n) for n, v in DISTINCT.items()])
 
 
 def population_stats(indicators: DataFrame) -> DataFrame:
@@ -103,13 +125,14 @@ def score_clients(indicators: DataFrame, stats: DataFrame, weights: RiskWeights
 
 
 def client_risk(transactions: DataFrame, weights: RiskWeights = RiskWeights(),
-                cutoffs: LevelCutoffs = LevelCutoffs(), labels: Labels = ENGLISH) -> DataFrame:
+                cutoffs: LevelCutoffs = LevelCutoffs(), labels: Labels = ENGLISH,
+                limits: SkewLimits = SkewLimits()) -> DataFrame:
     """Scores straight from transactions.
 
     The indicators are needed twice, for the population means and for the score, and are far
     smaller than the facts; they are staged so that the facts are scanned once.
     """
-    indicators = stage(client_indicators(transactions), "client_indicators")
+    indicators = stage(client_indicators(transactions, limits), "client_indicators")
     return score_clients(indicators, population_stats(indicators), weights, cutoffs, labels)
 
 

@@ -17,24 +17,13 @@ from pyspark.sql import functions as F
 from ledgerlens.config import SkewLimits
 from ledgerlens.functions.dates import epoch_second
 from ledgerlens.functions.flags import has_error
+from ledgerlens.operators.skew import hot_keys, rows_of_hot_keys, rows_of_other_keys
 from ledgerlens.plans.staging import stage
 
 LIMITS = SkewLimits()
 WHOLE = -1  # slice of every row of a key that is not cut
 
 
-def hot_keys(df: DataFrame, key: str, hot_rows: int) -> DataFrame | None:
-    """Keys with more than ``hot_rows`` rows and their counts, as a table of known size; None when
-    there are none."""
-    counts = df.groupBy(F.col(key).alias("hot_key")).agg(F.count("*").alias("hot_n"))
-    hot = stage(counts.filter(F.col("hot_n") > hot_rows), "hot_keys")
-    return None if hot.isEmpty() else hot
-
-
-def _with_hot(df: DataFrame, hot: DataFrame, key: str, how: str) -> DataFrame:
-    return df.join(hot, F.col(key).eqNullSafe(F.col("hot_key")), how)
-
-
 @dataclass
 class _Sliced:
     rows: DataFrame
@@ -50,10 +39,10 @@ def _slice(df: DataFrame, key: str, limits: SkewLimits) -> _Sliced:
     if hot is None:
         return _Sliced(df.withColumn("slice", F.lit(WHOLE)), None)
     busy_rows = hot.agg(F.sum("hot_n")).first()[0]
-    ranges = (_with_hot(df, hot, key, "left_semi")
+    ranges = (rows_of_hot_keys(df, hot, key)
               .repartitionByRange(busy_rows // limits.hot_rows + 1, key, "date", "id"))
     cut = stage(ranges.withColumn("slice", F.spark_partition_id()), "slices")
-    calm = _with_hot(df, hot, key, "left_anti").withColumn("slice", F.lit(WHOLE))
+    calm = rows_of_other_keys(df, hot, key).withColumn("slice", F.lit(WHOLE))
     return _Sliced(calm.unionByName(cut), cut)
 
 
@@ -133,7 +122,7 @@ def velocity(transactions: DataFrame, seconds: int, limits: SkewLimits = LIMITS)
 
     if hot is None:
         return plain(facts).unionByName(undated)
-    busy = _with_hot(facts, hot, "card_id", "left_semi")
+    busy = rows_of_hot_keys(facts, hot, "card_id")
     ticks = busy.groupBy("card_id", "second").agg(F.count("*").alias("n"))
     own = F.floor(F.col("second") / seconds)
     copies = ticks.withColumn("own", own).withColumn(
@@ -144,7 +133,7 @@ def velocity(transactions: DataFrame, seconds: int, limits: SkewLimits = LIMITS)
                .select(F.col("card_id").alias("tick_card"), F.col("second").alias("tick"),
                        "velocity"))
     matched = F.col("card_id").eqNullSafe(F.col("tick_card")) & (F.col("second") == F.col("tick"))
-    return (plain(_with_hot(facts, hot, "card_id", "left_anti"))
+    return (plain(rows_of_other_keys(facts, hot, "card_id"))
             .unionByName(busy.join(counted, matched).select("id", "card_id", "velocity"))
             .unionByName(undated))
 

@@ -1,0 +1,31 @@
+"""Keys with very many rows, found before work that puts all rows of a key in one task."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ledgerlens.plans.staging import stage
+
+
+def hot_keys(df: DataFrame, key: str, hot_rows: int) -> DataFrame | None:
+    """Keys with more than ``hot_rows`` rows and their counts; None when there are none.
+
+    Only the key column is read, and counts are combined before the shuffle. The result has at most
+    ``rows / hot_rows`` rows and is staged, so that its size is known where it is joined.
+    """
+    counts = df.groupBy(F.col(key).alias("hot_key")).agg(F.count("*").alias("hot_n"))
+    hot = stage(counts.filter(F.col("hot_n") > hot_rows), "hot_keys")
+    return None if hot.isEmpty() else hot
+
+
+def _join(df: DataFrame, hot: DataFrame, key: str, how: str) -> DataFrame:
+    return df.join(hot, F.col(key).eqNullSafe(F.col("hot_key")), how)
+
+
+def rows_of_hot_keys(df: DataFrame, hot: DataFrame, key: str) -> DataFrame:
+    return _join(df, hot, key, "left_semi")
+
+
+def rows_of_other_keys(df: DataFrame, hot: DataFrame, key: str) -> DataFrame:
+    return _join(df, hot, key, "left_anti")

@@ -57,6 +57,10 @@ def test_one_scan(facts, function):
     assert count(function(facts), "Scan parquet") == 1
 
 
+def test_sets_cross_one_shuffle(facts):
+    assert count(risk.client_indicators(facts), "Exchange") == 1
+
+
 def test_suspects_come_from_one_scan_and_no_join(facts):
     details = suspicion.suspect_details(facts, Thresholds(5, 20, 300.0))
     assert count(details, "Scan parquet") == 1 and count(details, "Exchange") == 2

@@ -6,7 +6,7 @@ from datetime import timedelta
 import pytest
 
 from ledgerlens.config import SkewLimits
-from ledgerlens.operators import sequences
+from ledgerlens.operators import risk, sequences
 from rows import NOON, make
 
 CUT = SkewLimits(hot_rows=40)
@@ -103,3 +103,19 @@ def test_first(uneven, function, other, name):
             dated[pair] = min(dated.get(pair, rank), rank)
     firsts = {rank[2] for rank in dated.values()}
     assert values(function(uneven), name) == {r["id"]: r["id"] in firsts for r in uneven.collect()}
+
+
+def test_client_indicators(uneven):
+    """Sets for ordinary clients and groups for hot ones agree, for all splits of the clients."""
+    plain = sorted(map(str, risk.client_indicators(uneven).collect()))
+    for hot_rows in (10, 120, 10_000):
+        cut = risk.client_indicators(uneven, SkewLimits(hot_rows=hot_rows))
+        assert sorted(map(str, cut.collect())) == plain
+
+
+def test_client_indicators_with_a_missing_client(spark):
+    df = make(spark, [{"client_id": None, "card_id": None, "amount": "?"}] * 5 + [{"client_id": 1}])
+    for limits in (SkewLimits(), SkewLimits(hot_rows=3)):
+        got = {r["client_id"]: r for r in risk.client_indicators(df, limits).collect()}
+        assert got[None]["transactions"] == 5 and got[None]["cards"] == 0
+        assert got[None]["total_amount"] is None and got[None]["active_days"] == 1
