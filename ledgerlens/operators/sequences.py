@@ -102,37 +102,55 @@ def consecutive_errors(transactions: DataFrame, limits: SkewLimits = LIMITS) ->
                        F.when(F.col("failed"), F.col("run")).otherwise(0).alias("error_run"))
 
 
+def _running(df: DataFrame, *keys: str) -> DataFrame:
+    """Running sum of ``change`` in the order of ``at``, all of the same second included. It grows
+    row by row; a sliding frame would add up its whole content again for every row."""
+    upto = Window.partitionBy(*keys).orderBy("at").rangeBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    return df.withColumn("velocity", F.sum("change").over(upto)).filter("counted")
+
+
+def _mark(at: Column, change: Column, counted: bool) -> Column:
+    return F.struct(at.alias("at"), change.cast("bigint").alias("change"),
+                    F.lit(counted).alias("counted"))
+
+
 def velocity(transactions: DataFrame, seconds: int, limits: SkewLimits = LIMITS) -> DataFrame:
     """Transactions of the card in the last ``seconds``, the current one and all of its second
     included. A transaction without a date has no count.
 
-    A hot card is first counted per second. Each second then goes to its own block of
-    ``seconds`` and to the next one, so that every block holds all it looks back on and has at most
-    two rows per second of its length.
+    Every transaction adds one at its second and takes it away when it has left the period. A hot
+    card is first counted per second; its time is cut into blocks of ``seconds``, and each second is
+    also known to the next block, so that a block holds all it looks back on and has at most three
+    rows per second of its length.
     """
     facts = (transactions.filter(F.col("date").isNotNull())
              .select("id", "card_id", epoch_second(F.col("date")).alias("second")))
     undated = transactions.filter(F.col("date").isNull()).select(
         "id", "card_id", F.lit(None).cast("bigint").alias("velocity"))
-    hot = hot_keys(facts, "card_id", limits.hot_rows)
-    back = Window.partitionBy("card_id").orderBy("second").rangeBetween(-seconds, 0)
+    second = F.col("second")
+    over = second + seconds + 1
 
     def plain(df: DataFrame) -> DataFrame:
-        return df.select("id", "card_id", F.count("*").over(back).alias("velocity"))
+        marks = F.array(_mark(second, F.lit(1), True), _mark(over, F.lit(-1), False))
+        return (_running(df.select("id", "card_id", F.inline(marks)), "card_id")
+                .select("id", "card_id", "velocity"))
 
+    hot = hot_keys(facts, "card_id", limits.hot_rows)
     if hot is None:
         return plain(facts).unionByName(undated)
     busy = rows_of_hot_keys(facts, hot, "card_id")
-    ticks = busy.groupBy("card_id", "second").agg(F.count("*").alias("n"))
-    own = F.floor(F.col("second") / seconds)
-    copies = ticks.withColumn("own", own).withColumn(
-        "block", F.explode(F.array(F.col("own"), F.col("own") + 1)))
-    in_block = Window.partitionBy("card_id", "block").orderBy("second").rangeBetween(-seconds, 0)
-    counted = (copies.withColumn("velocity", F.sum("n").over(in_block))
-               .filter(F.col("block") == F.col("own"))
-               .select(F.col("card_id").alias("tick_card"), F.col("second").alias("tick"),
-                       "velocity"))
-    matched = F.col("card_id").eqNullSafe(F.col("tick_card")) & (F.col("second") == F.col("tick"))
+    n = F.col("n")
+    block = F.floor(second / seconds)
+    marks = F.array(
+        F.struct(block.alias("block"), _mark(second, n, True).alias("m")),
+        F.struct((block + 1).alias("block"), _mark(second, n, False).alias("m")),
+        F.struct((block + 1).alias("block"), _mark(over, -n, False).alias("m")))
+    ticks = (busy.groupBy("card_id", "second").agg(F.count("*").alias("n"))
+             .select("card_id", F.inline(marks)).select("card_id", "block", "m.*"))
+    counted = _running(ticks, "card_id", "block").select(
+        F.col("card_id").alias("tick_card"), F.col("at").alias("tick"), "velocity")
+    matched = F.col("card_id").eqNullSafe(F.col("tick_card")) & (second == F.col("tick"))
     return (plain(rows_of_other_keys(facts, hot, "card_id"))
             .unionByName(busy.join(counted, matched).select("id", "card_id", "velocity"))
             .unionByName(undated))
