@@ -3,7 +3,7 @@
 BENCH_SF_DIR   folder with the tables (default: the sf0.1 test tables)
 BENCH_CPUS     threads of the local session (default 8)
 BENCH_QUERIES  comma separated names (default: the headline queries)
-BENCH_RUNS     measured runs per query, of which the median counts (default 3)
+BENCH_RUNS     measured runs per query, of which the median counts (default 2)
 """
 
 from __future__ import annotations
@@ -44,7 +44,7 @@ def session(cpus: str) -> SparkSession:
 
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     chosen = os.environ.get("BENCH_QUERIES")
     names = chosen.split(",") if chosen else HEADLINE
     spark = session(os.environ.get("BENCH_CPUS", "8"))
