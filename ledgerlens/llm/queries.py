@@ -7,12 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import oracle, quality_rules, secret_scans
+from ledgerlens.llm import mixing, oracle, packing, quality_rules, secret_scans, simhash
 from ledgerlens.llm.text import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_mixing_sources(spark: SparkSession, folder: str) -> DataFrame:
+    taken = mixing.copies(table(spark, folder, "documents").select("doc_id", "source", "text"))
+    return taken.select(F.col("id").alias("doc_id"), "size", "source_size", "target",
+                        (F.col("size") * F.col("copies")).alias("taken"), "source", "copies")
+
+
 def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = quality_rules.apply_quality_rules(
         table(spark, folder, "documents").select("doc_id", "text"))
@@ -38,10 +44,28 @@ def op5_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(listed(of(*base)), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
 
 
+def op6_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    return packing.pack(packing.pieces(documents)).select(
+        F.col("id").alias("doc_id"), "piece", "start", "length",
+        F.col("crc32").alias("ids_crc32"), "sequence_id", "offset")
+
+
+def op8_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    groups = simhash.near_duplicate_groups(
+        table(spark, folder, "documents").select("doc_id", "text"))
+    return groups.select(F.col("id").alias("doc_id"),
+                         simhash.hexadecimal(F.col("fingerprint")).alias("fingerprint"),
+                         F.col("component").alias("component_id"))
+
+
 def queries() -> dict[str, Query]:
     return {
+        "op2_mixing_sources": op2_mixing_sources,
         "op4_quality_rules": op4_quality_rules,
         "op5_secret_scans": op5_secret_scans,
+        "op6_best_fit_packing": op6_best_fit_packing,
+        "op8_simhash_near_dedup": op8_simhash_near_dedup,
     }
 
 
