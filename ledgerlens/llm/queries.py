@@ -7,12 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import mixing, oracle, packing, quality_rules, secret_scans, simhash
+from ledgerlens.llm import (
+    mixing, oracle, packing, quality_rules, secret_scans, simhash, substring_dedup, suffix_array,
+)
 from ledgerlens.llm.text import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    kept = suffix_array.remove_earlier_strings(
+        table(spark, folder, "documents").select("doc_id", "text"))
+    return kept.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed",
+                       F.size("spans").cast("long").alias("n_spans"),
+                       F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op2_mixing_sources(spark: SparkSession, folder: str) -> DataFrame:
     taken = mixing.copies(table(spark, folder, "documents").select("doc_id", "source", "text"))
     return taken.select(F.col("id").alias("doc_id"), "size", "source_size", "target",
@@ -59,13 +69,22 @@ def op8_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
                          F.col("component").alias("component_id"))
 
 
+def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    kept = substring_dedup.remove_repeats(
+        table(spark, folder, "documents").select("doc_id", "text"))
+    return kept.select(F.col("id").alias("doc_id"), "n_words", "n_removed",
+                       F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Query]:
     return {
+        "op1_suffix_array_dedup": op1_suffix_array_dedup,
         "op2_mixing_sources": op2_mixing_sources,
         "op4_quality_rules": op4_quality_rules,
         "op5_secret_scans": op5_secret_scans,
         "op6_best_fit_packing": op6_best_fit_packing,
         "op8_simhash_near_dedup": op8_simhash_near_dedup,
+        "op10_substring_dedup": op10_substring_dedup,
     }
 
 
