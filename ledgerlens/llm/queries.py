@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import (
-    mixing, oracle, packing, quality_rules, secret_scans, simhash, substring_dedup, suffix_array,
+    html_extraction, mixing, oracle, packing, quality_classifier, quality_rules, secret_scans,
+    simhash, substring_dedup, suffix_array,
 )
 from ledgerlens.llm.text import table
 
@@ -61,6 +62,11 @@ def op6_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
         F.col("crc32").alias("ids_crc32"), "sequence_id", "offset")
 
 
+def op7_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    texts = html_extraction.extract(table(spark, folder, "pages").select("page_id", "url", "html"))
+    return texts.select("*", F.length("text").cast("long").alias("n_chars"))
+
+
 def op8_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     groups = simhash.near_duplicate_groups(
         table(spark, folder, "documents").select("doc_id", "text"))
@@ -69,6 +75,12 @@ def op8_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
                          F.col("component").alias("component_id"))
 
 
+def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_classifier.score_quality(
+        table(spark, folder, "documents").select("doc_id", "text"),
+        table(spark, folder, "labels")).withColumnRenamed("id", "doc_id")
+
+
 def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     kept = substring_dedup.remove_repeats(
         table(spark, folder, "documents").select("doc_id", "text"))
@@ -83,7 +95,9 @@ def queries() -> dict[str, Query]:
         "op4_quality_rules": op4_quality_rules,
         "op5_secret_scans": op5_secret_scans,
         "op6_best_fit_packing": op6_best_fit_packing,
+        "op7_html_extraction": op7_html_extraction,
         "op8_simhash_near_dedup": op8_simhash_near_dedup,
+        "op9_quality_classifier": op9_quality_classifier,
         "op10_substring_dedup": op10_substring_dedup,
     }
 
