@@ -150,3 +150,12 @@ def apply_quality_rules(df: DataFrame, rules: Sequence[Rule] = RULES,
     return (judged.withColumn("base_failed", base_failed(m))
             .withColumn("rejected_by", F.when(F.col("base_failed"), F.lit("base"))
                         .otherwise(first_rejection(ordered, whole(text), m))))
+
+
+def keep_good(df: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text") -> DataFrame:
+    """The rows of ``df`` that neither the base rule nor any other rejects, columns unchanged."""
+    ordered = by_worth(estimate(df, rules, text))
+    judged = quality_measures(df, text, "__measures")
+    m = F.col("__measures")
+    return judged.where(~base_failed(m) & first_rejection(ordered, whole(text), m).isNull()).drop(
+        "__measures")

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from ledgerlens.llm import (
     html_extraction, mixing, oracle, packing, quality_classifier, quality_rules, secret_scans,
     simhash, substring_dedup, suffix_array,
@@ -99,6 +100,7 @@ def queries() -> dict[str, Query]:
         "op8_simhash_near_dedup": op8_simhash_near_dedup,
         "op9_quality_classifier": op9_quality_classifier,
         "op10_substring_dedup": op10_substring_dedup,
+        "pipeline": corpus_pipeline.run,
     }
 
 

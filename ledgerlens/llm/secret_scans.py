@@ -140,3 +140,24 @@ def redacted(text: Column, spans: Column, mark: str = "[secret]") -> Column:
         F.greatest(a.at, s.end).alias("at")))
     tail = F.substring(text, walked.at + 1, F.length(text))
     return F.when(F.size(spans) == 0, text).otherwise(F.concat(walked.out, tail))
+
+
+def redact(df: DataFrame, rules: Sequence[SecretRule] = RULES, text: str = "text",
+           size: str = "n_chars", mark: str = "[secret]") -> DataFrame:
+    """The rows of ``df`` with secrets replaced by ``mark``; a column ``size`` follows the text.
+
+    Columns and rows stay as they are otherwise; a missing text stays missing.
+    """
+    found = scan_unseen(df, rules, None, text).where(F.size("spans") > 0)
+    spans = (found.select("blob", F.explode("spans").alias("s")).groupBy("blob")
+             .agg(F.sort_array(F.collect_list("s")).alias("spans"))
+             .select(F.col("blob").alias("__blob"), F.col("spans").alias("__spans")))
+    out = df.withColumn("__blob", blob_key(text)).join(spans, "__blob", "left")
+    clean = F.when(F.col("__spans").isNull(), F.col(text)).otherwise(
+        redacted(F.col(text), F.col("__spans"), mark))
+    out = out.withColumn(text, clean)
+    if size in df.columns:
+        kind = dict(df.dtypes)[size]
+        out = out.withColumn(size, F.when(F.col("__spans").isNull(), F.col(size)).otherwise(
+            F.length(text).cast(kind)))
+    return out.select(*[F.col(f"`{c}`") for c in df.columns])
