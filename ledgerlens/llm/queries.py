@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from ledgerlens.llm import (
-    html_extraction, mixing, oracle, packing, quality_classifier, quality_rules, secret_scans,
-    simhash, substring_dedup, suffix_array,
+    embedding_dedup, html_extraction, mixing, oracle, packing, quality_classifier,
+    quality_rules, secret_scans, simhash, substring_dedup, suffix_array,
 )
 from ledgerlens.llm.text import table
 
@@ -31,6 +31,12 @@ def op2_mixing_sources(spark: SparkSession, folder: str) -> DataFrame:
                         (F.col("size") * F.col("copies")).alias("taken"), "source", "copies")
 
 
+def op3_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = embedding_dedup.near_duplicate_vectors(table(spark, folder, "embeddings"))
+    return found.select(F.col("id").alias("vec_id"), "n_links",
+                        F.col("component").alias("component_id"), "kept")
+
+
 def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = quality_rules.apply_quality_rules(
         table(spark, folder, "documents").select("doc_id", "text"))
@@ -93,6 +99,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_suffix_array_dedup": op1_suffix_array_dedup,
         "op2_mixing_sources": op2_mixing_sources,
+        "op3_embedding_dedup": op3_embedding_dedup,
         "op4_quality_rules": op4_quality_rules,
         "op5_secret_scans": op5_secret_scans,
         "op6_best_fit_packing": op6_best_fit_packing,
