@@ -29,7 +29,11 @@ from ledgerlens.plans.staging import stage
 
 CAPACITY, CLOSING_ID = 2048, 0
 #: Words whose ids a Python worker remembers, and bytes of a word worth remembering.
-REMEMBERED, MEMORABLE = 300_000, 64
+REMEMBERED, MEMORABLE = 500_000, 64
+#: New words that are encoded as one text.
+TOGETHER = 500
+_CLOSING, _ALNUM = b".,;:!?|%&*#$", frozenset(
+    b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")
 #: Pieces that one numbering group holds on average, and groups a length at least.
 NUMBERED, SALTS = 500_000, 64
 
@@ -43,7 +47,10 @@ def default_tokenizer() -> str:
 class WordIds:
     """Ids of texts under a tokenizer that never looks across ASCII white space.
 
-    The ids of each word are remembered, so a text costs one look-up a word.
+    The ids of each word are remembered, so a text costs one look-up a word. Of a new word, the
+    closing punctuation is split off where the tokenizer does so too (behind an ASCII letter or
+    digit), and ASCII capitals are lowered as the tokenizer lowers them. What is letters only is
+    encoded many words at once and cut behind the tokens that end a word.
     """
 
     def __init__(self, path: str):
@@ -54,23 +61,56 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+
+    def _encode(self, new: list[bytes]) -> None:
+        known, encode = self.known, self.tokenizer.encode_batch_fast
+        letters, other = [], []
+        for w in new:
+            letters.append(w) if w.decode().lower().isalpha() else other.append(w)
+        coded = encode([" ".join(w.decode() for w in letters[i:i + TOGETHER])
+                        for i in range(0, len(letters), TOGETHER)], add_special_tokens=False)
+        for i, c in enumerate(coded):
+            words, ids = letters[i * TOGETHER:(i + 1) * TOGETHER], np.array(c.ids, "<u4")
+            cuts = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
+            if len(cuts) != len(words):
+                other += words
+                continue
+            raw, at = ids.tobytes(), 0
+            for w, upto in zip(words, cuts):
+                known[w] = raw[at:upto]
+                at = upto
+        coded = encode([w.decode() for w in other], add_special_tokens=False)
+        known.update((w, np.array(c.ids, "<u4").tobytes()) for w, c in zip(other, coded))
 
     def __call__(self, text: bytes) -> bytes:
         """Little-endian 32-bit ids of UTF-8 text, without special tokens."""
         words, known = text.split(), self.known
-        new = [w for w in set(words) if w not in known]
+        new = {w for w in words if w not in known}
         if new:
-            if len(known) + len(new) > REMEMBERED:
+            if len(known) > REMEMBERED:
                 known.clear()
-                new = list(set(words))
-            coded = self.tokenizer.encode_batch_fast([w.decode() for w in new],
-                                                     add_special_tokens=False)
-            known.update((w, np.array(c.ids, "<u4").tobytes()) for w, c in zip(new, coded))
-        ids = b"".join(map(known.__getitem__, words))
-        if new and len(known) > REMEMBERED // 2:
+                new = set(words)
+            parts = {}
             for w in new:
-                if len(w) > MEMORABLE:
-                    del known[w]
+                core = w.rstrip(_CLOSING)
+                if b"<" in w:  # may hold a special token
+                    parts[w] = (w, b"")
+                elif core and core[-1] in _ALNUM:
+                    parts[w] = (core.lower(), w[len(core):])
+                else:
+                    parts[w] = (w.lower(), b"")
+            wanted = {x for pair in parts.values() for x in pair if x and x not in known}
+            self._encode(list(wanted))
+            for w, (core, tail) in parts.items():
+                known[w] = known[core] + known[tail] if tail else known[core]
+        ids = b"".join(map(known.__getitem__, words))
+        for w in new:
+            if len(w) > MEMORABLE:
+                known.pop(w, None)
+                known.pop(parts[w][0], None)
         return ids
 
 
