@@ -155,7 +155,10 @@ def apply_quality_rules(df: DataFrame, rules: Sequence[Rule] = RULES,
 def keep_good(df: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text") -> DataFrame:
     """The rows of ``df`` that neither the base rule nor any other rejects, columns unchanged."""
     ordered = by_worth(estimate(df, rules, text))
-    judged = quality_measures(df, text, "__measures")
+    # the row number keeps the optimizer from pushing the filter below the measures, which would
+    # spell them out, and evaluate them, once for every use
+    judged = quality_measures(df, text, "__measures").withColumn(
+        "__row", F.monotonically_increasing_id())
     m = F.col("__measures")
-    return judged.where(~base_failed(m) & first_rejection(ordered, whole(text), m).isNull()).drop(
-        "__measures")
+    rejected = base_failed(m) | first_rejection(ordered, whole(text), m).isNotNull()
+    return judged.where((F.col("__row") >= 0) & ~rejected).drop("__measures", "__row")
