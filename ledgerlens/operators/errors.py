@@ -12,7 +12,7 @@ from ledgerlens.labels import ENGLISH, Labels
 RATE_LIMITS = (5, 10, 25)
 
 
-def error_type_share(transactions: DataFrame, top: int | None = 20) -> DataFrame:
+def error_type_share(transactions: DataFrame, top: int | None = None) -> DataFrame:
     """Rows per error text and their share of the rows with errors; each row also carries the
     number of rows with errors and of all rows."""
     everything = Window.partitionBy()  # over the error texts, not over the facts
@@ -41,11 +41,11 @@ def _most_errors(transactions: DataFrame, key: str, top: int | None) -> DataFram
     return rates if top is None else rates.orderBy(F.desc("errors"), key).limit(top)
 
 
-def card_error_rate(transactions: DataFrame, top: int | None = 20) -> DataFrame:
+def card_error_rate(transactions: DataFrame, top: int | None = None) -> DataFrame:
     return _most_errors(transactions, "card_id", top)
 
 
-def client_error_rate(transactions: DataFrame, top: int | None = 20) -> DataFrame:
+def client_error_rate(transactions: DataFrame, top: int | None = None) -> DataFrame:
     return _most_errors(transactions, "client_id", top)
 
 

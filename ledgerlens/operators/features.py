@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.flags import has_error, is_night, is_online
@@ -17,12 +17,24 @@ VERY_HIGH_AMOUNT = 500
 # Risk level of merchant categories.
 CATEGORY_RISK = {
     "VERY_HIGH": ["Money Transfer"],
-    "HIGH": ["Steel Drums and Barrels", "Fabricated Structural Metal Products",
-             "Miscellaneous Fabricated Metal Products", "Coated and Laminated Products"],
+    "HIGH": ["Steelworks", "Steel Products Manufacturing", "Miscellaneous Metal Fabrication",
+             "Miscellaneous Fabricated Metal Products", "Coated and Laminated Products",
+             "Steel Drums and Barrels", "Fabricated Structural Metal Products",
+             "Miscellaneous Metals", "Non-Ferrous Metal Foundries",
+             "Electroplating, Plating, Polishing Services", "Non-Precious Metal Services",
+             "Miscellaneous Metalwork", "Heat Treating Metal Services", "Ironwork"],
     "MODERATE": ["Cruise Lines", "Airlines", "Taxicabs and Limousines"],
     "LOW": ["Grocery Stores, Supermarkets", "Service Stations"],
 }
 
+# The same by category code.
+CODE_RISK = {
+    "VERY_HIGH": [4829],
+    "HIGH": [3000, 3001, 3005, 3006, 3007, 3008, 3009, 3066, 3359, 3387, 3389, 3390, 3393, 3405],
+    "MODERATE": [4411, 4511, 4121],
+    "LOW": [5411, 5541],
+}
+
 # How strongly an error cause points to fraud.
 ERROR_SUSPICION = {
     "HIGH": ["Bad PIN", "Bad Card Number", "Bad CVV", "Bad Expiration"],
@@ -82,10 +94,21 @@ def online_flag(transactions: DataFrame) -> DataFrame:
     return transactions.withColumn("is_online", is_online())
 
 
-def mcc_risk_level(categorised: DataFrame, levels: dict[str, list[str]] | None = None) -> DataFrame:
-    """Risk level of the ``merchant_category``; null where no rule names it."""
-    level = _level(F.col("merchant_category"), levels or CATEGORY_RISK)
-    return categorised.withColumn("mcc_risk_level", level)
+def risk_table(spark: SparkSession, levels: dict[str, list], key: str, kind: str) -> DataFrame:
+    """Rules as rows (``key``, mcc_risk_level)."""
+    rows = [(member, level) for level, members in levels.items() for member in members]
+    return spark.createDataFrame(rows, f"{key} {kind}, mcc_risk_level string")
+
+
+def mcc_risk_level(categorised: DataFrame, levels: DataFrame | None = None,
+                   key: str = "merchant_category") -> DataFrame:
+    """Risk level by the table ``levels`` (``key``, mcc_risk_level, one row a key); null where it has
+    none. By default the rules above, by ``merchant_category`` or by ``mcc``. Spark chooses the join
+    by the table's size."""
+    if levels is None:
+        rules, kind = (CODE_RISK, "int") if key == "mcc" else (CATEGORY_RISK, "string")
+        levels = risk_table(categorised.sparkSession, rules, key, kind)
+    return categorised.join(levels, key, "left")
 
 
 def error_suspicion_level(transactions: DataFrame,
@@ -161,6 +184,28 @@ def card_attributes(cards: DataFrame, transactions: DataFrame, as_of: str,
         percent(F.coalesce("spent", F.lit(0)), limit).alias("utilisation_pct"))
 
 
+def card_utilisation(cards: DataFrame, transactions: DataFrame, card_key: str = "card_id",
+                     month: str | None = None) -> DataFrame:
+    """Spending of each card and month as a percentage of the typed card's limit.
+
+    Every month with transactions is there; ``month`` (its first day) keeps one. Landed facts have
+    the column ``date_month``, and the filter then picks folders before it reads them.
+    """
+    facts = with_amount(transactions)
+    if month is not None:
+        day = F.lit(month).cast("date")
+        facts = facts.filter((F.col("date") >= day) & (F.col("date") < F.add_months(day, 1)))
+        if "date_month" in facts.columns:
+            facts = facts.filter(F.col("date_month") == month[:7])
+    spent = facts.groupBy(F.col("card_id").alias(card_key),
+                          F.date_format("date", "yyyy-MM").alias("month")).agg(
+        F.sum(cents(F.col("amount_clean"))).alias("spent"))
+    return spent.join(cards.select(card_key, "credit_limit"), card_key).select(
+        card_key, "month", dollars(F.col("spent")).alias("spent"),
+        percent(F.coalesce("spent", F.lit(0)), cents(F.col("credit_limit")))
+        .alias("utilisation_pct"))
+
+
 def amount_vs_client_mean(transactions: DataFrame) -> DataFrame:
     """Distance and ratio of each amount to the client's mean.
 

@@ -109,7 +109,7 @@ def transactions_with_errors(transactions: DataFrame) -> DataFrame:
     return transactions.filter(F.col("errors") != "")
 
 
-def error_type_counts(transactions: DataFrame, top: int | None = 20) -> DataFrame:
+def error_type_counts(transactions: DataFrame, top: int | None = None) -> DataFrame:
     """Rows per error text, most frequent first; ``top=None`` gives all."""
     counts = (transactions_with_errors(transactions)
               .groupBy("errors").agg(F.count("*").alias("occurrences"))

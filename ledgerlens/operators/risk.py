@@ -151,18 +151,21 @@ def risk_level_summary(scores: DataFrame) -> DataFrame:
             .orderBy(F.desc("mean_score")))
 
 
-def high_risk_clients(scores: DataFrame, labels: Labels = ENGLISH, top: int = 20) -> DataFrame:
-    return (scores.filter(F.col("risk_level") == labels.levels[0])
+def high_risk_clients(scores: DataFrame, labels: Labels = ENGLISH,
+                      top: int | None = None) -> DataFrame:
+    rows = (scores.filter(F.col("risk_level") == labels.levels[0])
             .select("client_id", "risk_score", "risk_level", "transactions", "total_amount",
                     "cards", "cities", "errors", "night")
-            .orderBy(F.desc("risk_score"), "client_id").limit(top))
+            .orderBy(F.desc("risk_score"), "client_id"))
+    return rows if top is None else rows.limit(top)
 
 
-def score_components(scores: DataFrame, top: int = 10) -> DataFrame:
-    """The parts with one decimal for the clients with the highest scores."""
-    return (scores.select("client_id", "risk_score",
+def score_components(scores: DataFrame, top: int | None = None) -> DataFrame:
+    """The parts with one decimal, highest scores first."""
+    rows = (scores.select("client_id", "risk_score",
                           *[F.round(f"{p}_score", 1).alias(f"{p}_score") for p in PARTS])
-            .orderBy(F.desc("risk_score"), "client_id").limit(top))
+            .orderBy(F.desc("risk_score"), "client_id"))
+    return rows if top is None else rows.limit(top)
 
 
 def risk_scores_output(scores: DataFrame) -> DataFrame:

@@ -21,6 +21,8 @@ from ledgerlens.operators.skew import hot_keys, rows_of_hot_keys, rows_of_other_
 from ledgerlens.plans.staging import stage
 
 LIMITS = SkewLimits()
+#: Groups over which the rows of one pair of client and value are dealt.
+FIRST_SALTS = 64
 WHOLE = -1  # slice of every row of a key that is not cut
 
 
@@ -159,20 +161,22 @@ def velocity(transactions: DataFrame, seconds: int, limits: SkewLimits = LIMITS)
 def _first_in_pair(transactions: DataFrame, other: str, name: str) -> DataFrame:
     """Whether a transaction is the client's first with this value of ``other``.
 
-    The earliest row per pair is a plain aggregate; it is joined back on the transaction id, which
-    no key can make uneven.
+    The rows of a pair are dealt over salted groups and numbered there; only the first of each group
+    is compared with the firsts of the pair's other groups. A pair that holds a third of all rows
+    still goes to many tasks, and rows that repeat an id stay single rows.
     """
-    facts = transactions.select("id", "client_id", other, "date")
-    first = (facts.filter(F.col(other).isNotNull())
-             .groupBy("client_id", other)
-             .agg(F.min(F.struct(F.col("date").isNull().alias("undated"), "date", "id")).alias("f"))
-             .select(F.col("f.id").alias("id"), F.lit(True).alias("hit")))
-    return facts.join(first, "id", "left").select(
-        "id", "client_id", other, _true_or_false(F.col("hit")).alias(name))
-
-
-def _true_or_false(hit: Column) -> Column:
-    return F.coalesce(hit, F.lit(False))
+    facts = transactions.select("id", "client_id", other, "date").withColumn(
+        "salt", F.pmod(F.xxhash64("id", "date"), F.lit(FIRST_SALTS)))
+    order = [F.col("date").asc_nulls_last(), "id"]
+    within = Window.partitionBy("client_id", other, "salt").orderBy(*order)
+    numbered = facts.withColumn("number", F.row_number().over(within))
+    order_key = F.struct(F.col("date").isNull().alias("undated"), "date", "id", "salt")
+    among = Window.partitionBy("client_id", other, "leads").orderBy(order_key)
+    # rows that don't lead their group need no order among groups; their own salt spreads them
+    leads = F.when(F.col("number") == 1, F.lit(-1)).otherwise(F.col("salt")).alias("leads")
+    ranked = numbered.select("*", leads).withColumn("place", F.row_number().over(among))
+    first = (F.col("number") == 1) & (F.col("place") == 1) & F.col(other).isNotNull()
+    return ranked.select("id", "client_id", other, first.alias(name))
 
 
 def first_at_merchant(transactions: DataFrame) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,8 +13,8 @@ from ledgerlens.operators import (
     amounts, compare, enrich, errors, features, indicators, quality, risk, sequences, suspicion,
     temporal,
 )
-from ledgerlens.plans.staging import stage, staging_folder
-from ledgerlens.sources import driver_tables, readers
+from ledgerlens.plans.staging import new_folder, stage
+from ledgerlens.sources import driver_tables, readers, writers
 from ledgerlens.streaming import daily_activity
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -112,7 +111,8 @@ def _client_amount_profile(spark: SparkSession, folder: str) -> DataFrame:
 def _mcc_risk_level(spark: SparkSession, folder: str) -> DataFrame:
     categorised = enrich.transactions_with_category(
         driver_tables.transactions(spark, folder), driver_tables.mcc_codes(spark, folder))
-    return features.mcc_risk_level(categorised, CATEGORY_LEVELS).select(
+    levels = features.risk_table(spark, CATEGORY_LEVELS, "merchant_category", "string")
+    return features.mcc_risk_level(categorised, levels).select(
         "id", "merchant_category", "mcc_risk_level")
 
 
@@ -126,15 +126,35 @@ def _labelled_metrics(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _streaming_card_velocity(spark: SparkSession, folder: str) -> DataFrame:
-    """Events read as a stream until all are processed; card days above a threshold."""
-    events = (spark.readStream.schema(driver_tables.SCHEMAS["events"])
-              .parquet(f"{folder}/event[s].parquet"))
-    live = driver_tables.map_events(events)
-    path = f"{staging_folder(spark)}/daily-activity-{uuid.uuid4().hex}"
-    query = daily_activity.start_daily_activity(live, path, f"{path}-checkpoint")
-    query.awaitTermination()
+    """Events that arrive as several files, one a batch, in two runs; card days above a threshold.
+
+    The parts are dealt by id, so every batch holds rows of all days, long past ones included.
+    """
+    schema = driver_tables.SCHEMAS["events"]
+    events = spark.read.schema(schema).parquet(f"{folder}/events.parquet")
+    path = new_folder(spark, "daily-activity")
+    part = F.pmod(F.xxhash64(*events.columns), F.lit(4))
+    for parts in ((0, 1, 2), (3,)):
+        for p in parts:
+            events.where(part == p).coalesce(1).write.mode("append").parquet(f"{path}/arrived")
+        arriving = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+                    .parquet(f"{path}/arrived"))
+        daily_activity.start_daily_activity(driver_tables.map_events(arriving), path,
+                                            f"{path}/progress").awaitTermination()
+        daily_activity.compact(spark, path)
     return portable(daily_activity.alerts(
-        daily_activity.latest_activity(spark, path), THRESHOLDS))
+        daily_activity.current_activity(spark, path), THRESHOLDS))
+
+
+def _saved(query: Query, name: str) -> Query:
+    """The query's rows after a trip through its sink: written, overwritten once, read back."""
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        path = new_folder(spark, name)
+        rows = stage(query(spark, folder), name)
+        writers.write_table(rows.limit(1), path)
+        writers.write_table(rows, path)
+        return spark.read.parquet(path)
+    return run
 
 
 def _columns(function, *names: str, **parameters) -> Query:
@@ -159,6 +179,7 @@ def queries() -> dict[str, Query]:
         "transactions_with_errors": _on_transactions(quality.transactions_with_errors),
         "with_errors_summary": _without_places(quality.with_errors_summary),
         "error_type_counts": _without_places(quality.error_type_counts),
+        "error_type_counts_top": _without_places(quality.error_type_counts, top=20),
         "quality_summary": _without_places(quality.quality_summary),
         # amounts
         "amount_statistics": _without_places(amounts.amount_statistics),
@@ -178,9 +199,12 @@ def queries() -> dict[str, Query]:
         "category_amounts": _with_codes(enrich.category_amounts),
         # errors
         "error_type_share": _without_places(errors.error_type_share),
+        "error_type_share_top": _without_places(errors.error_type_share, top=20),
         "card_error_rate": _without_places(errors.card_error_rate),
+        "card_error_rate_top": _without_places(errors.card_error_rate, top=20),
         "cards_all_errors": _without_places(errors.cards_all_errors),
         "client_error_rate": _without_places(errors.client_error_rate),
+        "client_error_rate_top": _without_places(errors.client_error_rate, top=20),
         "client_error_rate_bands": _without_places(errors.client_error_rate_bands),
         # card indicators: whole tables, and the reports of the highest rows
         "card_day_counts": _without_places(indicators.card_day_counts),
@@ -210,11 +234,14 @@ def queries() -> dict[str, Query]:
             "client_id", "risk_score", "risk_level")),
         "risk_level_summary": _on_scores(risk.risk_level_summary),
         "high_risk_clients": _on_scores(risk.high_risk_clients),
+        "high_risk_clients_top": _on_scores(risk.high_risk_clients, top=20),
         "score_components": _on_scores(risk.score_components),
+        "score_components_top": _on_scores(risk.score_components, top=10),
         # saved tables
-        "risk_scores_output": _on_scores(risk.risk_scores_output),
-        "suspicious_cards_output": _on_transactions(suspicion.suspicious_cards_output, **limits),
-        "risk_summary_output": _on_scores(risk.risk_summary_output),
+        "risk_scores_output": _saved(_on_scores(risk.risk_scores_output), "risk_scores"),
+        "suspicious_cards_output": _saved(
+            _on_transactions(suspicion.suspicious_cards_output, **limits), "suspicious_cards"),
+        "risk_summary_output": _saved(_on_scores(risk.risk_summary_output), "risk_summary"),
         # normal against suspect clients
         "client_classes": _on_scores(compare.client_classes),
         "behaviour_flags": _columns(compare.behaviour_flags, "id", "has_error", "is_online",
@@ -242,6 +269,8 @@ def queries() -> dict[str, Query]:
                                "is_night"),
         "online_flag": _columns(features.online_flag, "id", "is_online"),
         "mcc_risk_level": _mcc_risk_level,
+        "mcc_risk_by_code": _without_places(lambda t: features.mcc_risk_level(t, key="mcc").select(
+            "id", "mcc", "mcc_risk_level")),
         "error_suspicion_level": _columns(features.error_suspicion_level, "id", "errors",
                                           "error_suspicion"),
         "client_amount_profile": _client_amount_profile,
@@ -252,6 +281,9 @@ def queries() -> dict[str, Query]:
         "card_attributes": lambda spark, folder: portable(features.card_attributes(
             features.typed_cards(driver_tables.cards(spark, folder)),
             driver_tables.transactions(spark, folder), AS_OF)),
+        "card_utilisation": lambda spark, folder: portable(features.card_utilisation(
+            features.typed_cards(driver_tables.cards(spark, folder)),
+            driver_tables.transactions(spark, folder, places=False))),
         "amount_vs_client_mean": _without_places(features.amount_vs_client_mean),
         "time_since_previous": _without_places(sequences.time_since_previous),
         "first_at_merchant": _without_places(sequences.first_at_merchant),

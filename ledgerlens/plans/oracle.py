@@ -5,6 +5,7 @@ Sums run over whole cents and ratios are rounded as ratios of integers, as in th
 
 from __future__ import annotations
 
+from ledgerlens.operators.features import CODE_RISK
 from ledgerlens.operators.risk import PARTS
 from ledgerlens.plans.catalogue import AS_OF, CATEGORY_LEVELS, CUTOFFS, THRESHOLDS
 
@@ -217,6 +218,10 @@ SELECT id, card_id, count(*) OVER (PARTITION BY card_id ORDER BY {SECOND}
 FROM tx""")
 
 
+REPORTS = ("error_type_counts", "error_type_share", "card_error_rate", "client_error_rate",
+           "high_risk_clients", "score_components")
+
+
 def oracle_sql() -> dict[str, str]:
     non_positive = "amount_clean <= 0"
     no_mcc = "mcc IS NULL"
@@ -227,7 +232,7 @@ def oracle_sql() -> dict[str, str]:
 SELECT merchant_category, count(*) AS transactions, {extra}
 FROM tx JOIN codes ON CAST(mcc AS VARCHAR) = code GROUP BY merchant_category
 ORDER BY {order} DESC, merchant_category LIMIT {n}"""
-    return {
+    out = {
         "transactions_clean": _tx(f"SELECT {RAW}, {AMOUNT} FROM tx"),
         "mcc_dimension": f"WITH {CODES} SELECT code AS mcc, merchant_category FROM codes",
         "volumetry": _tx(f"""
@@ -453,6 +458,9 @@ SELECT id, hour AS hour_of_day, dow AS day_of_week, hour BETWEEN 1 AND 5 AS is_n
             f"WHEN merchant_category IN {_in(names)} THEN '{level}'"
             for level, names in CATEGORY_LEVELS.items())
             + " END AS mcc_risk_level FROM tx LEFT JOIN codes ON CAST(mcc AS VARCHAR) = code", CODES),
+        "mcc_risk_by_code": _tx("SELECT id, mcc, CASE " + " ".join(
+            f"WHEN mcc IN ({', '.join(map(str, codes))}) THEN '{level}'"
+            for level, codes in CODE_RISK.items()) + " END AS mcc_risk_level FROM tx"),
         "error_suspicion_level": _tx("""
 SELECT id, errors, CASE WHEN errors LIKE '%,%' THEN 'MODERATE'
        WHEN errors IN ('Bad PIN', 'Bad Card Number', 'Bad CVV', 'Bad Expiration') THEN 'HIGH'
@@ -492,6 +500,12 @@ FROM customer LEFT JOIN (
   SELECT card_id, sum(c) AS spent FROM tx
   WHERE date_trunc('month', date) = date_trunc('month', DATE '{AS_OF}') GROUP BY card_id
 ) ON card_id = c_custkey * 10"""),
+        "card_utilisation": _tx(f"""
+SELECT card_id, strftime(date, '%Y-%m') AS month, CAST(sum(c) AS BIGINT) / 100 AS spent,
+       {_pct('coalesce(CAST(sum(c) AS BIGINT), 0)',
+             'any_value(CAST(abs(c_acctbal) AS DECIMAL(12,2)) * 100)')} AS utilisation_pct
+FROM tx JOIN customer ON card_id = c_custkey * 10
+GROUP BY card_id, strftime(date, '%Y-%m')"""),
         "amount_vs_client_mean": _tx("""
 SELECT id, client_id, CAST(amount_clean AS DOUBLE) AS amount, mean_c / 100 AS client_mean,
        (c - mean_c) / 100 AS difference, round(c / nullif(mean_c, 0), 6) AS ratio
@@ -523,3 +537,7 @@ SELECT card_id, {DAY}, n AS transactions, c / 100 AS total_amount,
 FROM card_days
 WHERE n > {THRESHOLDS.daily_count} OR c > {THRESHOLDS.daily_amount * 100}""", CARD_DAYS),
     }
+    for name in REPORTS:  # the report of the highest rows, and the whole table
+        out[f"{name}_top"] = out[name]
+        out[name] = out[name].rpartition(" LIMIT ")[0]
+    return out

@@ -221,10 +221,16 @@ def test_combined_errors(spark):
 
 
 def test_category_risk(spark):
-    df = spark.createDataFrame([("Money Transfer",), ("Airlines",), ("Books",), (None,)],
-                               "merchant_category string")
-    assert [r["mcc_risk_level"] for r in as_dicts(features.mcc_risk_level(df))] == [
-        "VERY_HIGH", "MODERATE", None, None]
+    want = {"Money Transfer": "VERY_HIGH", "Airlines": "MODERATE", "Books": None, None: None,
+            "Ironwork": "HIGH", "Steelworks": "HIGH"}
+    df = spark.createDataFrame([(k,) for k in want], "merchant_category string")
+    assert {k: r["mcc_risk_level"] for k, r in by(
+        features.mcc_risk_level(df), "merchant_category").items()} == want
+    metal = (3000, 3001, 3005, 3066, 3359, 3387, 3389, 3390, 3393, 3405)
+    codes = make(spark, [{"mcc": c} for c in (*metal, 4829, 1, None)])
+    got = {k: r["mcc_risk_level"] for k, r in by(features.mcc_risk_level(codes, key="mcc"),
+                                                "mcc").items()}
+    assert got == dict.fromkeys(metal, "HIGH") | {4829: "VERY_HIGH", 1: None, None: None}
 
 
 def test_typed_cards_and_attributes(spark):

@@ -105,6 +105,13 @@ def test_first(uneven, function, other, name):
     assert values(function(uneven), name) == {r["id"]: r["id"] in firsts for r in uneven.collect()}
 
 
+def test_first_keeps_rows_with_repeated_ids(spark):
+    df = make(spark, [{"id": 1}, {"id": 1}, {"id": 2, "date": NOON}, {"id": 3, "merchant_id": None}])
+    got = sequences.first_at_merchant(df).collect()
+    assert sorted(r["id"] for r in got) == [1, 1, 2, 3]
+    assert sum(r["is_first_at_merchant"] for r in got) == 1
+
+
 def test_client_indicators(uneven):
     """Sets for ordinary clients and groups for hot ones agree, for all splits of the clients."""
     plain = sorted(map(str, risk.client_indicators(uneven).collect()))
