@@ -1,51 +1,31 @@
 """Features that depend on the order of a card's or client's transactions.
 
-A window per key gathers all rows of the key in one task. That is right for ordinary keys. Keys with
-more rows than ``SkewLimits.hot_rows`` are found first (one column, counted). Their rows are range
-partitioned by (key, date, id), which is balanced however uneven keys and times are, and each
-partition becomes a slice; only one row per slice is carried along the key. Results are the same
-either way. Order is by date, then id.
+All rows are range partitioned by (key, date, id), which is balanced however uneven keys and times
+are, and each partition becomes a slice. Windows run within (key, slice), and one row per key and
+slice is carried along the key, so no key's rows need to meet in one task. The sliced rows are
+staged, since a range partitioning that is computed twice may cut elsewhere. Order is by date, then
+id.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.config import SkewLimits
 from ledgerlens.functions.dates import epoch_second
 from ledgerlens.functions.flags import has_error
-from ledgerlens.operators.skew import hot_keys, rows_of_hot_keys, rows_of_other_keys
 from ledgerlens.plans.staging import stage
 
-LIMITS = SkewLimits()
 #: Groups over which the rows of one pair of client and value are dealt.
 FIRST_SALTS = 64
-WHOLE = -1  # slice of every row of a key that is not cut
-
-
-@dataclass
-class _Sliced:
-    rows: DataFrame
-    cut: DataFrame | None  # the rows of hot keys only
-
 
-def _slice(df: DataFrame, key: str, limits: SkewLimits) -> _Sliced:
-    """Add ``slice``: constant for ordinary keys, the number of the range for hot ones.
 
-    The cut rows are staged, so that every later step sees the same slices.
-    """
-    hot = hot_keys(df, key, limits.hot_rows)
-    if hot is None:
-        return _Sliced(df.withColumn("slice", F.lit(WHOLE)), None)
-    busy_rows = hot.agg(F.sum("hot_n")).first()[0]
-    ranges = (rows_of_hot_keys(df, hot, key)
-              .repartitionByRange(busy_rows // limits.hot_rows + 1, key, "date", "id"))
-    cut = stage(ranges.withColumn("slice", F.spark_partition_id()), "slices")
-    calm = rows_of_other_keys(df, hot, key).withColumn("slice", F.lit(WHOLE))
-    return _Sliced(calm.unionByName(cut), cut)
+def _slice(df: DataFrame, key: str, slices: int | None) -> DataFrame:
+    """Add ``slice``, the number of a row's range: as many as shuffles have partitions, or
+    ``slices``."""
+    order = (key, "date", "id")
+    ranges = df.repartitionByRange(slices, *order) if slices else df.repartitionByRange(*order)
+    return stage(ranges.withColumn("slice", F.spark_partition_id()), "slices")
 
 
 def _in_slice(key: str):
@@ -58,50 +38,40 @@ def _join_carry(rows: DataFrame, carry: DataFrame, key: str) -> DataFrame:
     return rows.join(c, same, "left").drop("carry_key", "carry_slice")
 
 
-def time_since_previous(transactions: DataFrame, limits: SkewLimits = LIMITS) -> DataFrame:
+def time_since_previous(transactions: DataFrame, slices: int | None = None) -> DataFrame:
     """Whole seconds since the card's previous transaction; null for the first."""
-    facts = transactions.select("id", "card_id", "date")
-    s = _slice(facts, "card_id", limits)
-    rows = s.rows.withColumn("second", epoch_second(F.col("date"))).withColumn(
-        "previous", F.lag("second").over(_in_slice("card_id")))
-    if s.cut is not None:
-        ends = (s.cut.groupBy("card_id", "slice").agg(F.max(epoch_second(F.col("date"))).alias("last")))
-        along = Window.partitionBy("card_id").orderBy("slice")
-        carry = ends.select("card_id", "slice", F.lag("last").over(along).alias("carried"))
-        rows = _join_carry(rows, carry, "card_id").withColumn(
-            "previous", F.coalesce("previous", "carried"))
-    return rows.select("id", "card_id", (F.col("second") - F.col("previous")).alias("seconds"))
-
-
-def consecutive_errors(transactions: DataFrame, limits: SkewLimits = LIMITS) -> DataFrame:
+    rows = _slice(transactions.select("id", "card_id", "date"), "card_id", slices).withColumn(
+        "second", epoch_second(F.col("date")))
+    ends = rows.groupBy("card_id", "slice").agg(F.max("second").alias("last"))
+    along = Window.partitionBy("card_id").orderBy("slice")
+    carry = ends.select("card_id", "slice", F.lag("last").over(along).alias("carried"))
+    previous = F.lag("second").over(_in_slice("card_id"))
+    rows = _join_carry(rows.withColumn("previous", previous), carry, "card_id")
+    return rows.select("id", "card_id", (
+        F.col("second") - F.coalesce("previous", "carried")).alias("seconds"))
+
+
+def consecutive_errors(transactions: DataFrame, slices: int | None = None) -> DataFrame:
     """Length of the card's run of errors up to and including each transaction."""
     facts = transactions.select("id", "card_id", "date", has_error().alias("failed"))
-    s = _slice(facts, "card_id", limits)
     order = _in_slice("card_id")
     upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-
-    def positions(df: DataFrame) -> DataFrame:
-        return (df.withColumn("position", F.row_number().over(order).cast("bigint"))
-                .withColumn("last_ok", F.max(F.when(~F.col("failed"), F.col("position"))).over(upto)))
-
-    rows = positions(s.rows).withColumn(
-        "run", F.col("position") - F.coalesce("last_ok", F.lit(0)))
-    if s.cut is not None:
-        ends = (positions(s.cut).groupBy("card_id", "slice")
-                .agg(F.count("*").alias("n"), F.max("last_ok").alias("last_ok")))
-        along = Window.partitionBy("card_id").orderBy("slice")
-        sofar = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        total = F.sum("n").over(sofar)
-        open_runs = (ends.withColumn("total", total)
-                     .withColumn("ok_at", F.col("total") - F.col("n") + F.col("last_ok"))
-                     .withColumn("open", F.col("total")
-                                 - F.coalesce(F.max("ok_at").over(sofar), F.lit(0))))
-        carry = open_runs.select("card_id", "slice", F.lag("open").over(along).alias("carried"))
-        rows = _join_carry(rows, carry, "card_id").withColumn(
-            "run", F.when(F.col("last_ok").isNull(), F.col("run") + F.coalesce("carried", F.lit(0)))
-            .otherwise(F.col("run")))
-    return rows.select("id", "card_id",
-                       F.when(F.col("failed"), F.col("run")).otherwise(0).alias("error_run"))
+    rows = (_slice(facts, "card_id", slices)
+            .withColumn("position", F.row_number().over(order).cast("bigint"))
+            .withColumn("last_ok", F.max(F.when(~F.col("failed"), F.col("position"))).over(upto)))
+    ends = rows.groupBy("card_id", "slice").agg(F.count("*").alias("n"),
+                                                F.max("last_ok").alias("last_ok"))
+    along = Window.partitionBy("card_id").orderBy("slice")
+    sofar = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    open_runs = (ends.withColumn("total", F.sum("n").over(sofar))
+                 .withColumn("ok_at", F.col("total") - F.col("n") + F.col("last_ok"))
+                 .withColumn("open", F.col("total")
+                             - F.coalesce(F.max("ok_at").over(sofar), F.lit(0))))
+    carry = open_runs.select("card_id", "slice", F.lag("open").over(along).alias("carried"))
+    run = F.when(F.col("last_ok").isNull(), F.col("position") + F.coalesce("carried", F.lit(0))
+                 ).otherwise(F.col("position") - F.col("last_ok"))
+    return _join_carry(rows, carry, "card_id").select(
+        "id", "card_id", F.when(F.col("failed"), run).otherwise(0).alias("error_run"))
 
 
 def _running(df: DataFrame, *keys: str) -> DataFrame:
@@ -117,45 +87,30 @@ def _mark(at: Column, change: Column, counted: bool) -> Column:
                     F.lit(counted).alias("counted"))
 
 
-def velocity(transactions: DataFrame, seconds: int, limits: SkewLimits = LIMITS) -> DataFrame:
+def velocity(transactions: DataFrame, seconds: int) -> DataFrame:
     """Transactions of the card in the last ``seconds``, the current one and all of its second
     included. A transaction without a date has no count.
 
-    Every transaction adds one at its second and takes it away when it has left the period. A hot
-    card is first counted per second; its time is cut into blocks of ``seconds``, and each second is
-    also known to the next block, so that a block holds all it looks back on and has at most three
-    rows per second of its length.
+    Transactions are first counted per card and second. A count is added at its second and taken
+    away when it has left the period. Time is cut into blocks of ``seconds``, and each second is also
+    known to the next block, so that a block holds all it looks back on and has at most three rows
+    per second of its length, however busy the card is.
     """
-    facts = (transactions.filter(F.col("date").isNotNull())
-             .select("id", "card_id", epoch_second(F.col("date")).alias("second")))
-    undated = transactions.filter(F.col("date").isNull()).select(
-        "id", "card_id", F.lit(None).cast("bigint").alias("velocity"))
-    second = F.col("second")
+    facts = transactions.select("id", "card_id", epoch_second(F.col("date")).alias("second"))
+    second, n = F.col("second"), F.col("n")
     over = second + seconds + 1
-
-    def plain(df: DataFrame) -> DataFrame:
-        marks = F.array(_mark(second, F.lit(1), True), _mark(over, F.lit(-1), False))
-        return (_running(df.select("id", "card_id", F.inline(marks)), "card_id")
-                .select("id", "card_id", "velocity"))
-
-    hot = hot_keys(facts, "card_id", limits.hot_rows)
-    if hot is None:
-        return plain(facts).unionByName(undated)
-    busy = rows_of_hot_keys(facts, hot, "card_id")
-    n = F.col("n")
     block = F.floor(second / seconds)
     marks = F.array(
         F.struct(block.alias("block"), _mark(second, n, True).alias("m")),
         F.struct((block + 1).alias("block"), _mark(second, n, False).alias("m")),
         F.struct((block + 1).alias("block"), _mark(over, -n, False).alias("m")))
-    ticks = (busy.groupBy("card_id", "second").agg(F.count("*").alias("n"))
-             .select("card_id", F.inline(marks)).select("card_id", "block", "m.*"))
+    ticks = (facts.where(second.isNotNull()).groupBy("card_id", "second")
+             .agg(F.count("*").alias("n")).select("card_id", F.inline(marks))
+             .select("card_id", "block", "m.*"))
     counted = _running(ticks, "card_id", "block").select(
         F.col("card_id").alias("tick_card"), F.col("at").alias("tick"), "velocity")
     matched = F.col("card_id").eqNullSafe(F.col("tick_card")) & (second == F.col("tick"))
-    return (plain(rows_of_other_keys(facts, hot, "card_id"))
-            .unionByName(busy.join(counted, matched).select("id", "card_id", "velocity"))
-            .unionByName(undated))
+    return facts.join(counted, matched, "left").select("id", "card_id", "velocity")
 
 
 def _first_in_pair(transactions: DataFrame, other: str, name: str) -> DataFrame:

@@ -9,7 +9,6 @@ from ledgerlens.config import SkewLimits
 from ledgerlens.operators import risk, sequences
 from rows import NOON, make
 
-CUT = SkewLimits(hot_rows=40)
 
 
 @pytest.fixture(scope="module")
@@ -58,7 +57,7 @@ def test_time_since_previous(uneven):
             want[r["id"]] = None if now is None or before is None else now - before
             before = now
     assert values(sequences.time_since_previous(uneven), "seconds") == want
-    assert values(sequences.time_since_previous(uneven, CUT), "seconds") == want
+    assert values(sequences.time_since_previous(uneven, slices=7), "seconds") == want
 
 
 def test_consecutive_errors(uneven):
@@ -69,13 +68,13 @@ def test_consecutive_errors(uneven):
             run = run + 1 if r["errors"] else 0
             want[r["id"]] = run
     assert values(sequences.consecutive_errors(uneven), "error_run") == want
-    assert values(sequences.consecutive_errors(uneven, CUT), "error_run") == want
+    assert values(sequences.consecutive_errors(uneven, slices=7), "error_run") == want
 
 
 def test_runs_longer_than_a_slice(spark):
     df = make(spark, [{"errors": "Bad PIN" if i != 3 else None, "date": NOON + timedelta(minutes=i)}
                       for i in range(200)])
-    got = values(sequences.consecutive_errors(df, SkewLimits(hot_rows=15)), "error_run")
+    got = values(sequences.consecutive_errors(df, slices=9), "error_run")
     assert got == {i + 1: (i + 1 if i < 3 else i - 3) for i in range(200)}
 
 
@@ -88,7 +87,6 @@ def test_velocity(uneven, seconds):
             want[r["id"]] = None if now is None else sum(
                 1 for o in rows if o["date"] is not None and now - seconds <= second(o) <= now)
     assert values(sequences.velocity(uneven, seconds), "velocity") == want
-    assert values(sequences.velocity(uneven, seconds, CUT), "velocity") == want
 
 
 @pytest.mark.parametrize("function, other, name", [
