@@ -9,6 +9,11 @@ context. One shuffle by anchor then tells
 * contexts that occur again as a whole: every window of them is repeated, and
 * single contexts whose anchor has other contexts too: only these are looked at window by window.
 
+Before the shuffle each batch decides what it can: of the occurrences of one context only one goes
+on, the others are repeats already, and are dealt over all tasks. An anchor with many contexts in a
+batch is dealt by context instead; all its contexts then count as having others, also where another
+batch dealt them by anchor (a witness row tells), so such anchors are split and nothing is lost.
+
 All work is vectorised over the concatenated texts of an Arrow batch, in pieces of bounded size; no
 window reaches over the end of its document.
 """
@@ -19,9 +24,16 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: Contexts of one anchor in a batch from which on they are dealt by context, not by anchor.
+HOT = 16
+#: States of an occurrence, above bit 40 of its shape.
+DECIDED, REPEATED, SPREAD, WITNESS = 1, 2, 4, 8
+_STATE = 40
+
 #: Positions hashed at once; they must fit in the bits below that are free in an anchor's hash.
 PIECE, PLACE_BITS = 1 << 18, 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -115,36 +127,73 @@ def owned_runs(symbols: np.ndarray, starts: np.ndarray, ends: np.ndarray, window
     assert total >= stop
 
 
-def occurrences(df: DataFrame, symbols_of: Callable, window: int, k: int) -> DataFrame:
-    """(anchor, context, ..., low, shape) of ``df``, whose last column is the text as binary.
+def occurrences(df: DataFrame, symbols_of: Callable, window: int, k: int,
+                ordered: bool) -> DataFrame:
+    """(deal, context, ..., low, shape) of ``df``, whose last column is the text as binary.
 
-    The columns before the text are carried along. ``symbols_of`` gets the bytes of a batch and its
+    The columns before the text are carried along; by them documents come one after another, and
+    the last of them tells documents apart. ``symbols_of`` gets the bytes of a batch and its
     offsets, and gives the 64-bit symbols and where each text's symbols start and end. ``shape``
     holds the anchor's place behind ``low`` and the number of windows, see ``windows_of``.
     """
     carried = df.columns[:-1]
 
+    def decided(anchor, context, owner, key, low, shape):
+        """Rows of one batch in an order by context, with their deal and state."""
+        order = np.lexsort((low, owner, context, anchor))
+        anchor, context, owner, key, low, shape = (
+            x[order] for x in (anchor, context, owner, key, low, shape))
+        new_anchor = np.concatenate(([True], anchor[1:] != anchor[:-1]))
+        new = new_anchor | np.concatenate(([True], context[1:] != context[:-1]))
+        other = new | np.concatenate(([True], (key[1:] != key[:-1]) | (low[1:] != low[:-1])))
+        group, of_anchor = np.cumsum(new) - 1, np.cumsum(new_anchor) - 1
+        state = np.where(new, 0, DECIDED)
+        if not ordered:
+            state[new & (np.bincount(group, weights=other)[group] > 1)] = REPEATED
+        hot = np.bincount(of_anchor, weights=new)[of_anchor] >= HOT
+        deal = np.where(new, np.where(hot, mixed(anchor ^ mixed(context)), anchor),
+                        mixed(key ^ low.astype(np.uint64)))
+        state = np.where(new & hot, state | SPREAD, state)
+        shape = shape | (state << _STATE)
+        witness = np.flatnonzero(new_anchor & hot)
+        keep = np.concatenate((np.flatnonzero(other), witness))
+        shape = np.concatenate((shape[other], np.full(len(witness), WITNESS << _STATE)))
+        deal = np.concatenate((deal[other], anchor[witness]))
+        return deal, np.concatenate((context[other], np.zeros(len(witness), np.uint64))), \
+            owner[keep], low[keep], shape
+
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
+            if not part.num_rows:
+                continue
+            part = part.take(pc.sort_indices(
+                part.select(carried), sort_keys=[(c, "ascending") for c in carried],
+                null_placement="at_start"))
+            keys = part.column(len(carried) - 1).to_numpy().view(np.uint64)
             for rows, symbols, starts, ends in symbol_batches(part.column(len(carried)),
                                                               symbols_of):
-                for owner, low, count, place, anchor, context in owned_runs(
-                        symbols, starts, ends, window, k):
-                    row = pa.array(owner + rows)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(anchor.view(np.int64)), pa.array(context.view(np.int64)),
-                         *[part.column(i).take(row) for i in range(len(carried))],
-                         pa.array(low.astype(np.int64)), pa.array(((place - low) << 16) | count)],
-                        ["anchor", "context", *carried, "low", "shape"])
+                runs = list(owned_runs(symbols, starts, ends, window, k))
+                if not runs:
+                    continue
+                owner, low, count, place, anchor, context = map(np.concatenate, zip(*runs))
+                deal, context, owner, low, shape = decided(
+                    anchor, context, owner, keys[owner + rows], low, ((place - low) << 16) | count)
+                row = pa.array(owner + rows)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(deal.view(np.int64)), pa.array(context.view(np.int64)),
+                     *[part.column(i).take(row) for i in range(len(carried))],
+                     pa.array(low.astype(np.int64)), pa.array(shape)],
+                    ["deal", "context", *carried, "low", "shape"])
 
     kinds = "".join(f"`{c}` {t}, " for c, t in df.dtypes[:-1])
-    return df.mapInArrow(batches, f"anchor bigint, context bigint, {kinds}low bigint, shape bigint")
+    return df.mapInArrow(batches, f"deal bigint, context bigint, {kinds}low bigint, shape bigint")
 
 
 def windows_of(shape):
     """(anchor's place behind low, number of windows) of numbers, arrays or columns."""
-    return (F.shiftright(shape, 16), shape.bitwiseAND(0xFFFF)) if hasattr(shape, "bitwiseAND") \
-        else (shape >> 16, shape & 0xFFFF)
+    if hasattr(shape, "bitwiseAND"):
+        return F.shiftright(shape, 16).bitwiseAND(0xFFFF), shape.bitwiseAND(0xFFFF)
+    return (shape >> 16) & 0xFFFF, shape & 0xFFFF
 
 
 def symbol_batches(texts: pa.Array, symbols_of: Callable, size: int = 1 << 22):
@@ -198,39 +247,41 @@ def word_symbols(values: np.ndarray, offsets: np.ndarray):
     return symbols, first, last
 
 
-def marked(occurrences: DataFrame, order: list[str], ordered: bool) -> DataFrame:
-    """Occurrences that matter: (anchor, ..., low, shape, whole, alone).
+def marked(occurrences: DataFrame, ordered: bool) -> DataFrame:
+    """Occurrences that matter: (..., low, shape, whole, alone).
 
-    ``order`` names the carried columns by which documents come one after another; the last of them
-    tells documents apart. ``whole``: all windows of the occurrence are repeats; with ``ordered``
-    that spares the first occurrence of each context. ``alone``: the occurrence stands for its
-    context among several contexts of its anchor. A document that comes twice counts once. Rows are
-    sorted within their shuffled partition and pass once, batch by batch; only the rows of one
-    anchor that a batch has cut are carried over.
+    ``whole``: all windows of the occurrence are repeats; with ``ordered`` that spares the first
+    occurrence of each context. ``alone``: the occurrence stands for its context among several
+    contexts of its anchor. A document that comes twice counts once. Rows are sorted within their
+    shuffled partition and pass once, batch by batch; only the rows of one anchor that a batch has
+    cut are carried over.
     """
-    rows = occurrences.repartition("anchor").sortWithinPartitions(
-        "anchor", "context", *[F.col(c).asc_nulls_first() for c in order], "low")
-    names = ["anchor", *order, "low", "shape"]
+    order = occurrences.columns[2:-2]
+    rows = occurrences.repartition("deal").sortWithinPartitions(
+        "deal", "context", *[F.col(c).asc_nulls_first() for c in order], "low")
+    names = [*order, "low", "shape"]
 
     def flags(table: pa.Table) -> pa.RecordBatch:
-        anchor, context, key, low = (table.column(c).to_numpy()
-                                     for c in ("anchor", "context", order[-1], "low"))
-        new_anchor = np.concatenate(([True], anchor[1:] != anchor[:-1]))
-        new = new_anchor | np.concatenate(([True], context[1:] != context[:-1]))
+        deal, context, key, low, shape = (table.column(c).to_numpy()
+                                          for c in ("deal", "context", order[-1], "low", "shape"))
+        state = shape >> _STATE
+        decided = state == DECIDED
+        new_deal = np.concatenate(([True], deal[1:] != deal[:-1]))
+        new = new_deal | np.concatenate(([True], context[1:] != context[:-1]))
         other = new | np.concatenate(([True], (key[1:] != key[:-1]) | (low[1:] != low[:-1])))
-        group = np.cumsum(new) - 1
-        several = np.bincount(group, weights=other)[group] > 1
-        of_anchor = np.cumsum(new_anchor) - 1
-        contexts = np.bincount(of_anchor, weights=new)[of_anchor] > 1
-        whole = several & ~new if ordered else several
-        alone = new & contexts
-        keep = np.flatnonzero((whole | alone) & other)
+        group, of_deal = np.cumsum(new) - 1, np.cumsum(new_deal) - 1
+        several = (np.bincount(group, weights=other)[group] > 1) | (
+            np.bincount(group, weights=state & REPEATED)[group] > 0)
+        contexts = (np.bincount(of_deal, weights=new)[of_deal] > 1) | (state & SPREAD > 0)
+        whole = decided | (several & ~new if ordered else several)
+        alone = new & contexts & ~decided
+        keep = np.flatnonzero((whole | alone) & (other | decided) & (state != WITNESS))
         out = table.select(names).take(pa.array(keep))
         return out.append_column("whole", pa.array(whole[keep])).append_column(
             "alone", pa.array(alone[keep])).combine_chunks()
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ready in whole_groups(parts, "anchor", 1):
+        for ready in whole_groups(parts, "deal", 1):
             yield from flags(ready).to_batches()
 
     kinds = dict(occurrences.dtypes)

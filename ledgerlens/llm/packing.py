@@ -29,7 +29,7 @@ from ledgerlens.plans.staging import stage
 
 CAPACITY, CLOSING_ID = 2048, 0
 #: Words whose ids a Python worker remembers, and bytes of a word worth remembering.
-REMEMBERED, MEMORABLE = 500_000, 64
+REMEMBERED, MEMORABLE = 1_000_000, 64
 #: New words that are encoded as one text.
 TOGETHER = 500
 _CLOSING, _ALNUM = b".,;:!?|%&*#$", frozenset(
@@ -114,6 +114,17 @@ class WordIds:
         return ids
 
 
+def word_ids(path: str) -> WordIds:
+    """One coder for all tasks that a Python worker runs, with the words it remembers."""
+    import sys
+    import types
+
+    kept = sys.modules.setdefault("_word_ids_of_worker", types.ModuleType("_word_ids_of_worker"))
+    if path not in kept.__dict__:
+        kept.__dict__[path] = WordIds(path)
+    return kept.__dict__[path]
+
+
 def pieces(df: DataFrame, id: str = "doc_id", text: str = "text", tokenizer: str | None = None,
            capacity: int = CAPACITY, closing: int = CLOSING_ID, ids: bool = False) -> DataFrame:
     """(id, piece, start, length, crc32) of every piece; with ``ids`` also its token ids."""
@@ -121,7 +132,7 @@ def pieces(df: DataFrame, id: str = "doc_id", text: str = "text", tokenizer: str
     names = ["id", "piece", "start", "length", "crc32"] + ["ids"] * ids
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, end = WordIds(path), np.array([closing], "<u4").tobytes()
+        coder, end = word_ids(path), np.array([closing], "<u4").tobytes()
         for part in parts:
             row, cut = [], []
             for i, t in enumerate(part.column(1)):

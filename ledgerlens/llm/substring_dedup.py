@@ -99,7 +99,7 @@ def repeated_spans(documents: DataFrame, window: int = WINDOW,
                    anchor: int = ANCHOR) -> DataFrame:
     """(key, low, high): words low to high - 1 lie in windows that occur elsewhere too."""
     marks = stage(anchors.marked(anchors.occurrences(
-        documents.select("key", "text"), anchors.word_symbols, window, anchor), ["key"], False),
+        documents.select("key", "text"), anchors.word_symbols, window, anchor, False), False),
         "marks")
     edges = stage(_edges(documents, marks.where("alone"), window), "edges")
     repeated = stage(edges.groupBy("edge").agg(

@@ -35,6 +35,8 @@ from ledgerlens.plans.staging import stage
 WINDOW, ANCHOR = 100, 36
 #: Rows of contexts that are put in suffix arrays together, unless one group has more.
 TOGETHER = 20_000
+#: Kinds of windows by the number of bytes before their anchor.
+KINDS = 4
 
 
 def lyndon_groups(symbols: Sequence[int]) -> tuple[list[int], list[int]]:
@@ -170,12 +172,12 @@ def _documents(df: DataFrame, id: str, text: str) -> DataFrame:
 def _contexts(documents: DataFrame, alone: DataFrame, window: int, k: int) -> DataFrame:
     """Contexts of the occurrences in ``alone``, cut around their anchors.
 
-    A window lies with more of its bytes before its anchor or behind it. The two kinds go to groups
-    of their own, named by the anchor and the bytes on the heavier side that all of the kind have:
-    contexts that differ there part at once.
+    Windows are told apart by how many of their bytes lie before the anchor, in ``KINDS`` kinds. All
+    windows of a kind have the anchor and some bytes on either side in common; these name the group
+    that a context's windows of the kind go to, so contexts that differ near the anchor part at once.
     """
     span = window - k
-    half = span // 2
+    step = -(-(span + 1) // KINDS)
     runs = alone.groupBy("key").agg(F.collect_list(F.struct("low", "shape")).alias("runs"))
     names = ["group", "id", "key", "place", "least", "most", "left", "right"]
 
@@ -190,13 +192,14 @@ def _contexts(documents: DataFrame, alone: DataFrame, window: int, k: int) -> Da
                     anchors.BYTE_VALUES[np.frombuffer(raw, np.uint8)])
                 at, last, first = low + place, place, place - count + 1
                 rows = []
-                for fewest, furthest, before, behind in (
-                        (first, np.minimum(last, half), 0, span - half),
-                        (np.maximum(first, half + 1), last, half + 1, 0)):
-                    has = np.flatnonzero(fewest <= furthest)
+                for fewest in range(0, span + 1, step):
+                    most = min(fewest + step - 1, span)
+                    f, m = np.maximum(first, fewest), np.minimum(last, most)
+                    has = np.flatnonzero(f <= m)
                     if len(has):
-                        a, f, m = at[has], fewest[has], furthest[has]
-                        rows.append((hashes(a - before, a + k + behind).view(np.int64), a, f, m))
+                        a = at[has]
+                        rows.append((hashes(a - fewest, a + window - most).view(np.int64), a,
+                                     f[has], m[has]))
                 if not rows:
                     continue
                 group, a, f, m = map(np.concatenate, zip(*rows))
@@ -243,8 +246,8 @@ def _earlier_in_groups(contexts: DataFrame, window: int, k: int) -> DataFrame:
 def earlier_spans(documents: DataFrame, window: int = WINDOW, k: int = ANCHOR) -> DataFrame:
     """(key, low, high): bytes low to high - 1 lie in strings that start earlier too."""
     marks = stage(anchors.marked(anchors.occurrences(
-        documents.select("id", "key", "text"), anchors.byte_symbols, window, k),
-        ["id", "key"], True), "marks")
+        documents.select("id", "key", "text"), anchors.byte_symbols, window, k, True), True),
+        "marks")
     count = anchors.windows_of(F.col("shape"))[1]
     whole_runs = marks.where("whole").select(
         "key", "low", (F.col("low") + count + (window - 1)).alias("high"))
