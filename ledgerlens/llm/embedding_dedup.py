@@ -1,15 +1,18 @@
-"""Near-duplicate vectors by cosine, found in a forest of random-projection trees.
-
-Equal vectors are made one first, with their number. Each tree splits a bounded sample again and
-again along a random direction (between two of the node's vectors), where the middle half of them
-lies thinnest; vectors close to a split go to both sides. Every vector then goes down every tree. Leaves that are still too large for
-one task are split further in rounds over their own vectors; one whose vectors nearly all lie within
-the threshold of each other gains nothing by that and is compared whole, in pairs of chunks. Within
-leaves all pairs are compared in double precision. A pair that shares several leaves counts in the
-first of them only, so a leaf returns a count for each vector and a spanning forest of its links,
-never the links themselves.
-
-Links found are exact; a link is missed only if some split parts its ends in every tree. Defined
+"""Near-duplicate vectors by cosine, found in a random-projection tree that parts no linked pair.
+
+Equal vectors are made one first, with their number. A tree splits a bounded sample again and again
+along a random direction (between two of the node's vectors), where the middle half of them lies
+thinnest. Two linked unit vectors are at most sqrt(2 - 2 cosine) apart, along any direction too, so
+vectors within half of that of a split go to both sides, and every linked pair stays together on one
+side at least. Of several trees the one with the fewest pairs in its leaves is used, and every vector
+goes down it. Leaves that are still too large for one task are split further in rounds over their own
+vectors. Where all splits tried would put too many vectors on both sides, a leaf is compared whole,
+in pairs of chunks. Within leaves all pairs are compared; what single precision leaves open is
+decided in double precision. A pair that shares several leaves counts in the first of them only, so a
+leaf returns a count for each vector and a spanning forest of its links, never the links themselves.
+
+All links are found, and only links. The work of a leaf that does not split grows with the square of
+its vectors, as it must where a group's cosines lie on both sides of the threshold. Defined
 results: a vector that is null, empty or zero, or holds null or non-finite components, has no links
 and is its own component; vectors of different lengths don't link; a row without an id has no links
 and no component and is kept; repeated rows are copies; an empty table gives an empty result.
@@ -30,13 +33,18 @@ from ledgerlens.plans.staging import drop_staged, stage
 COSINE, TREES, LEAF, SPILL, SEED = 0.95, 8, 512, 0.06, 5
 #: Bounds of the sample that trees are fitted on: vectors, bytes; and of a leaf in it.
 SAMPLE, SAMPLE_BYTES, SAMPLE_LEAF = 20_000, 32_000_000, 24
-#: Rounds that split leaves further, and the share of a dense leaf that lies near one of its vectors.
-ROUNDS, DENSE = 48, 0.9
+#: Rounds that split leaves further, planes tried at a node, bytes of vectors in a chunk of a leaf.
+ROUNDS, TRIES, CHUNK_BYTES = 48, 6, 8_000_000
 CLOSE = 1e-12
 #: Among these shares of a node's rows the split is looked for.
 QUANTILES = np.linspace(0.25, 0.75, 26)
 
 
+def _reach(cosine: float) -> float:
+    """How far apart linked unit vectors can be, with room for rounding."""
+    return float(np.sqrt(2 * max(0.0, 1 - cosine + CLOSE))) + 1e-9
+
+
 def _vectors(df: DataFrame, id: str, embedding: str) -> DataFrame:
     """(id, vec): the components as bytes of doubles; null for vectors that link with nothing."""
 
@@ -61,49 +69,60 @@ def unit_rows(vectors: pa.Array | pa.ChunkedArray) -> np.ndarray:
     return found / np.linalg.norm(found, axis=1, keepdims=True)
 
 
-def _margins(projected: np.ndarray, spill: float) -> tuple[float, float]:
-    """Where the rows lie thinnest in the middle half, and ``spill`` of the rows on either side."""
+def _margins(projected: np.ndarray, reach: float) -> tuple[float, float]:
+    """``reach`` around the place in the middle half with the fewest rows that near."""
     cuts = np.quantile(projected, QUANTILES)
-    place = QUANTILES[np.diff(cuts).argmax()] + (QUANTILES[1] - QUANTILES[0]) / 2
-    low, high = np.quantile(projected, [place - spill, place + spill])
-    return float(low), float(high)
+    places = (cuts[1:] + cuts[:-1]) / 2
+    ordered = np.sort(projected)
+    low, high = places - reach / 2, places + reach / 2
+    best = (np.searchsorted(ordered, high, "right") - np.searchsorted(ordered, low)).argmin()
+    return float(low[best]), float(high[best])
 
 
 class Tree:
-    """Splits of one tree: rows up to ``high`` go left, rows from ``low`` on go right."""
+    """Splits of one tree: rows up to ``high`` go left, rows from ``low`` on go right.
+
+    A child is the number of a node, or -1 for a leaf, or -2 for one that no plane tried splits with
+    at most twice ``spill`` of its rows on both sides. ``pairs`` is the work in all leaves.
+    """
 
     def __init__(self, sample: np.ndarray, leaf: int, spill: float, cosine: float,
                  rng: np.random.Generator):
-        self.planes, self.margins, self.children, self.cosine = [], [], [], cosine
-        self._grow(sample, np.arange(len(sample)), leaf, spill, rng)
+        self.planes, self.margins, self.children = [], [], []
+        self.reach, self.pairs = _reach(cosine), 0
+        self.root = self._grow(sample, np.arange(len(sample)), leaf, spill, rng)
 
     def _grow(self, sample, rows, leaf, spill, rng) -> int:
-        if len(rows) <= leaf:
-            return -1
-        ends = sample[rng.choice(rows, 2, replace=False)]
-        if np.quantile(sample[rows] @ ends.T, 1 - DENSE, axis=0).max() >= self.cosine:
-            return -1  # splits would part what belongs together
-        for _ in range(4):
-            a, b = rng.choice(rows, 2, replace=False)
-            plane = sample[a] - sample[b]
-            projected = sample[rows] @ plane
-            low, high = _margins(projected, spill)
-            left, right = rows[projected <= high], rows[projected >= low]
-            if max(len(left), len(right)) < 0.9 * len(rows):
-                break
-        else:
-            return -1
-        at = len(self.planes)
-        self.planes.append(plane)
-        self.margins.append((low, high))
-        self.children.append([-1, -1])
-        self.children[at] = [self._grow(sample, side, leaf, spill, rng) for side in (left, right)]
-        return at
+        if len(rows) > leaf:
+            for _ in range(TRIES):
+                a, b = rng.choice(rows, 2, replace=False)
+                plane = sample[a] - sample[b]
+                length = np.linalg.norm(plane)
+                if not length:
+                    continue
+                plane = plane / length
+                projected = sample[rows] @ plane
+                low, high = _margins(projected, self.reach)
+                left, right = rows[projected <= high], rows[projected >= low]
+                if (len(left) + len(right) <= (1 + 2 * spill) * len(rows)
+                        and max(len(left), len(right)) < 0.9 * len(rows)):
+                    at = len(self.planes)
+                    self.planes.append(plane)
+                    self.margins.append((low, high))
+                    self.children.append([-1, -1])
+                    self.children[at] = [self._grow(sample, side, leaf, spill, rng)
+                                         for side in (left, right)]
+                    return at
+        self.pairs += len(rows) ** 2
+        return -2 if len(rows) > leaf else -1
 
     def leaves(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(row, leaf number) of all rows; a row has several leaves where it is near a split."""
+        """(row, leaf number) of all rows; a row has several leaves where it is near a split.
+
+        Numbers of leaves that don't split are negative.
+        """
         if not self.planes:
-            return np.arange(len(rows)), np.zeros(len(rows), np.int64)
+            return np.arange(len(rows)), np.full(len(rows), -1 if self.root == -2 else 0)
         found, todo = [], [(0, np.arange(len(rows)))]
         while todo:
             at, own = todo.pop()
@@ -114,15 +133,15 @@ class Tree:
                 if child >= 0:
                     todo.append((child, part))
                 else:
-                    found.append((part, np.full(len(part), 2 * at + side)))
+                    number = 2 * at + side
+                    found.append((part, np.full(len(part), number if child == -1 else -1 - number)))
         return tuple(np.concatenate(x) for x in zip(*found))
 
 
-def _first_leaves(distinct: DataFrame, trees: int, leaf: int, spill: float, cosine: float,
-                  seed: int) -> DataFrame:
-    """(node, leaf) by trees that are fitted on a sample of the vectors of each length."""
-    lengths = distinct.groupBy("size").agg(F.count("*").alias("n")).collect()  # few lengths exist
-    forests: dict[int, list[Tree]] = {}
+def _first_leaves(distinct: DataFrame, lengths: list, trees: int, leaf: int, spill: float,
+                  cosine: float, seed: int) -> DataFrame:
+    """(node, leaf, final) by the best of the trees fitted on a sample of each length's vectors."""
+    best: dict[int, Tree] = {}
     for size, n in lengths:
         most = max(1, min(SAMPLE, SAMPLE_BYTES // size))
         every = -(-n // most)
@@ -130,78 +149,77 @@ def _first_leaves(distinct: DataFrame, trees: int, leaf: int, spill: float, cosi
         if n > leaf:
             picked = distinct.where((F.col("size") == size) & (
                 F.pmod(F.xxhash64("node", F.lit(seed)), F.lit(every)) == 0))
-            sample = unit_rows(pa.array([bytes(r.vec) for r in picked.select("vec").limit(
-                2 * most).collect()], pa.binary()))
+            found = [bytes(r.vec) for r in picked.select("vec").limit(2 * most).collect()]
+            sample = unit_rows(pa.array(found, pa.binary())) if found else sample
         stop = max(SAMPLE_LEAF, leaf * len(sample) // n)
-        forests[size] = [Tree(sample, stop, spill, cosine, np.random.default_rng([seed, size, t]))
-                         for t in range(trees if n > leaf else 1)]
+        best[size] = min((Tree(sample, stop, spill, cosine, np.random.default_rng([seed, size, t]))
+                          for t in range(max(1, trees) if n > leaf else 1)), key=lambda t: t.pairs)
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             node, sizes = part.column(0).to_numpy(), part.column(1).to_numpy()
             for size in np.unique(sizes):
                 own = np.flatnonzero(sizes == size)
-                rows = unit_rows(part.column(2).take(pa.array(own)))
-                for t, tree in enumerate(forests[int(size)]):
-                    row, number = tree.leaves(rows)
-                    code = (int(size) << 40) + (t << 32) + number
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(node[own[row]]), pa.array(code)], ["node", "leaf"])
+                row, number = best[int(size)].leaves(unit_rows(part.column(2).take(pa.array(own))))
+                code = (int(size) << 32) + np.where(number < 0, -1 - number, number)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(node[own[row]]), pa.array(code), pa.array(number < 0)],
+                    ["node", "leaf", "final"])
 
-    placed = distinct.select("node", "size", "vec").mapInArrow(batches, "node bigint, leaf bigint")
-    return placed.select("node", F.xxhash64("leaf").alias("leaf"))
+    placed = distinct.select("node", "size", "vec").mapInArrow(
+        batches, "node bigint, leaf bigint, final boolean")
+    return placed.select("node", F.xxhash64("leaf").alias("leaf"), "final")
 
 
 def _split_further(distinct: DataFrame, placed: DataFrame, leaf: int, spill: float, cosine: float,
                    rounds: int) -> tuple[DataFrame, DataFrame]:
-    """(placed, sizes): no leaf above twice ``leaf`` but dense ones."""
+    """(placed, sizes): no leaf above twice ``leaf`` but those that no longer split."""
 
     def projected(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             v, a, b = (unit_rows(part.column(k)) for k in (2, 3, 4))
+            plane = a - b
+            length = np.linalg.norm(plane, axis=1)
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), part.column(1), pa.array((v * (a - b)).sum(axis=1)),
-                 pa.array((v * a).sum(axis=1)), pa.array((v * b).sum(axis=1))],
-                ["node", "leaf", "at", "near", "near2"])
-
-    spread = max(1, round(spill / (QUANTILES[1] - QUANTILES[0])))  # in steps of the quantiles
-    done = None
+                [part.column(0), part.column(1),
+                 pa.array((v * plane).sum(axis=1) / np.where(length > 0, length, 1))],
+                ["node", "leaf", "at"])
+
+    reach = _reach(cosine)
+    grid = np.linspace(0, 1, 101)
+    done = placed.where("final").select("node", "leaf")
+    placed = placed.where("not final").select("node", "leaf")
     for turn in range(rounds):
         sizes = placed.groupBy("leaf").agg(F.count("*").alias("n"))
         large = stage(sizes.where(F.col("n") > 2 * leaf), "large")
         if large.isEmpty():
             break
-        fine = placed.join(large.select("leaf"), "leaf", "left_anti").select("node", "leaf")
-        done = fine if done is None else done.union(fine)
+        done = done.union(placed.join(large.select("leaf"), "leaf", "left_anti")
+                          .select("node", "leaf"))
         rows = (placed.join(large.select("leaf"), "leaf").join(distinct.select("node", "vec"), "node"))
         order = F.xxhash64("node", F.lit(turn))
         ends = rows.groupBy("leaf").agg(F.min_by("vec", order).alias("a"),
                                         F.max_by("vec", order).alias("b"))
         where = stage(rows.join(ends, "leaf").select("node", "leaf", "vec", "a", "b").mapInArrow(
-            projected, "node bigint, leaf bigint, at double, near double, "
-            "near2 double"), "projected")
+            projected, "node bigint, leaf bigint, at double"), "projected")
         cuts = where.groupBy("leaf").agg(
-            F.percentile_approx("at", QUANTILES.tolist(), 1000).alias("q"),
-            F.greatest(*[F.percentile_approx(c, 1 - DENSE, 1000) for c in ("near", "near2")])
-            .alias("near"))
-        gaps = F.transform(F.slice("q", 2, len(QUANTILES) - 1), lambda x, i: F.struct(
-            (x - F.get("q", i)).alias("gap"), F.get("q", i - spread).alias("low"),
-            F.get("q", i + spread + 1).alias("high")))
-        cuts = cuts.withColumn("cut", F.array_max(F.slice(
-            gaps, spread + 1, len(QUANTILES) - 1 - 2 * spread))).select(
-            "leaf", "cut.low", "cut.high", (F.col("near") >= cosine).alias("dense"))
+            F.percentile_approx("at", grid.tolist(), 1000).alias("q"))
+        places = F.transform(F.sequence(F.lit(25), F.lit(74)), lambda i: (
+            F.get("q", i) + F.get("q", i + 1)) / 2)
+        cuts = cuts.withColumn("cut", F.array_min(F.transform(places, lambda t: F.struct(
+            F.size(F.filter("q", lambda x: F.abs(x - t) <= reach / 2)).alias("both"),
+            t.alias("place"))))).select(
+            "leaf", (F.col("cut.place") - reach / 2).alias("low"),
+            (F.col("cut.place") + reach / 2).alias("high"),
+            (F.col("cut.both") > 2 * spill * len(grid)).alias("final"))
         cut = where.join(cuts, "leaf")
-        still = cut.where("dense").select("node", "leaf")
-        sides = cut.where("not dense").select("node", F.explode(F.array_compact(F.array(
+        sides = cut.where("not final").select("node", F.explode(F.array_compact(F.array(
             F.when(F.col("at") <= F.col("high"), F.xxhash64("leaf", F.lit(0))),
             F.when(F.col("at") >= F.col("low"), F.xxhash64("leaf", F.lit(1)))))).alias("leaf"))
-        done = stage(done.union(still), "placed")
+        done = stage(done.union(cut.where("final").select("node", "leaf")), "placed")
         placed = stage(sides, "placed")
         drop_staged(where)
-    else:
-        done = placed if done is None else done.union(placed)
-        placed = None
-    out = placed if done is None else done if placed is None else done.union(placed)
+    out = done.union(placed)
     return out, out.groupBy("leaf").agg(F.count("*").alias("n"))
 
 
@@ -223,20 +241,45 @@ def _compared(cosine: float):
                 k = parent[k]
             return k
 
-        step = max(1, (1 << 22) // len(node))
-        for at in range(0, len(node), step):
-            p, q = np.nonzero(x[at:at + step] @ x.T >= cosine - CLOSE)
-            p = p + at
-            fits = (p < q) if i == j else (chunk[p] == i) & (chunk[q] == j)
-            p, q = p[fits], q[fits]
-            for low in range(0, len(p), 1 << 14):
-                a, b = p[low:low + (1 << 14)], q[low:low + (1 << 14)]
-                shared = (leaves[a][:, :, None] == leaves[b][:, None, :]).any(axis=2)
-                shared &= np.arange(width) < own[a][:, None]
-                first = leaves[a, shared.argmax(axis=1)] == leaf
-                np.add.at(counts, a[first], n[b[first]])
-                np.add.at(counts, b[first], n[a[first]])
-                for u, v in zip(a.tolist(), b.tolist()):
+        def roots() -> np.ndarray:
+            up = parent
+            while (up[up] != up).any():
+                up = up[up]
+            return up
+
+        single = x.astype(np.float32)
+        slack = (x.shape[1] + 8) * 2.0 ** -22
+        first, second = (np.flatnonzero(chunk == c) for c in (i, j))
+        step = max(1, (1 << 22) // len(second)) if len(second) else 1
+        for at in range(0, len(first), step):
+            block, others = first[at:at + step], second[at:] if i == j else second
+            near = single[block] @ single[others].T
+            p, q = np.nonzero(near >= cosine - slack)
+            close = near[p, q] < cosine + slack
+            p, q = block[p], others[q]
+            good = ~close
+            if i == j:
+                good &= p < q
+                close &= p < q
+            for some in np.array_split(np.flatnonzero(close), close.sum() // (1 << 14) + 1):
+                good[some] = (x[p[some]] * x[q[some]]).sum(axis=1) >= cosine - CLOSE
+            p, q = p[good], q[good]
+            piece = 1 << 18 if width == 1 else 1 << 14
+            for low in range(0, len(p), piece):
+                a, b = p[low:low + piece], q[low:low + piece]
+                if width == 1:
+                    u, v = a, b
+                else:
+                    shared = (leaves[a][:, :, None] == leaves[b][:, None, :]).any(axis=2)
+                    shared &= np.arange(width) < own[a][:, None]
+                    here = leaves[a, shared.argmax(axis=1)] == leaf
+                    u, v = a[here], b[here]
+                np.add.at(counts, u, n[v])
+                np.add.at(counts, v, n[u])
+                up = roots()
+                a, b = up[a], up[b]
+                apart = np.unique(a[a != b] * len(node) + b[a != b])
+                for u, v in zip((apart // len(node)).tolist(), (apart % len(node)).tolist()):
                     u, v = root(u), root(v)
                     if u != v:
                         parent[max(u, v)] = min(u, v)
@@ -261,12 +304,13 @@ def near_duplicate_vectors(df: DataFrame, id: str = "vec_id", embedding: str = "
     distinct = stage(rows.where("key is not null").groupBy("key").agg(
         F.min("id").cast("long").alias("node"), F.count("*").alias("n"),
         F.first("vec").alias("vec")).withColumn("size", F.length("vec")), "distinct")
+    lengths = distinct.groupBy("size").agg(F.count("*").alias("n")).collect()  # few lengths exist
     placed, sizes = _split_further(
-        distinct, stage(_first_leaves(distinct, trees, leaf, spill, cosine, seed), "placed"),
+        distinct, stage(_first_leaves(distinct, lengths, trees, leaf, spill, cosine, seed), "placed"),
         leaf, spill, cosine, rounds)
-    placed = placed.distinct()
+    most = max(2 * leaf, CHUNK_BYTES // max((size for size, _ in lengths), default=1))
     homes = placed.groupBy("node").agg(F.collect_list("leaf").alias("leaves"))
-    chunks = sizes.where("n > 1").select("leaf", F.ceil(F.col("n") / (2 * leaf)).cast("int").alias(
+    chunks = sizes.where("n > 1").select("leaf", F.ceil(F.col("n") / most).cast("int").alias(
         "chunks"))
     several = placed.join(chunks, "leaf").withColumn(
         "chunk", F.pmod(F.xxhash64("node"), "chunks").cast("int"))
@@ -275,6 +319,8 @@ def near_duplicate_vectors(df: DataFrame, id: str = "vec_id", embedding: str = "
         "node", "leaf", "chunk", F.least("chunk", "y").alias("i"),
         F.greatest("chunk", "y").alias("j"))
     full = met.join(distinct.select("node", "n", "vec"), "node").join(homes, "node")
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # few rows are much work
+    full = full.repartition(parts, "leaf", "i", "j")
     found = stage(full.groupBy("leaf", "i", "j").applyInArrow(
         _compared(cosine), "u bigint, v bigint, links bigint"), "links")
     links = found.where("links is not null").groupBy(F.col("u").alias("node")).agg(

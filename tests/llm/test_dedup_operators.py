@@ -153,3 +153,27 @@ def test_vectors_in_one_leaf_are_exact(spark):
     good = {i: np.array(x) if x and None not in x and np.isfinite(x).all() and any(x) else None
             for i, x in enumerate(rows)}
     assert got == cosine_links(good, 0.95)
+
+
+@pytest.mark.parametrize("size, chunk_bytes", [(6000, 500_000), (16_384, 8_000_000)])
+def test_links_on_both_sides_of_the_threshold(spark, monkeypatch, size, chunk_bytes):
+    monkeypatch.setattr(embedding_dedup, "CHUNK_BYTES", chunk_bytes)
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=64) + rng.normal(size=(size, 64)) * 0.229  # cosines lie around 0.95
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    links = np.concatenate([(unit[at:at + 1024] @ unit.T >= 0.95).sum(axis=1) - 1
+                            for at in range(0, size, 1024)])
+    assert 0.2 < links.mean() / size < 0.8
+    df = spark.createDataFrame(list(enumerate(x.tolist())), "vec_id long, embedding array<double>")
+    got = {r.id: r.n_links for r in embedding_dedup.near_duplicate_vectors(df).collect()}
+    assert [got[i] for i in range(size)] == links.tolist()
+
+
+def test_links_over_many_splits(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "SAMPLE", 300)  # later rounds split on
+    rng = np.random.default_rng(8)
+    x = np.repeat(rng.normal(size=(40, 16)), 60, axis=0) + rng.normal(size=(2400, 16)) * 0.15
+    df = spark.createDataFrame(list(enumerate(x.tolist())), "vec_id long, embedding array<double>")
+    got = {r.id: r.n_links for r in embedding_dedup.near_duplicate_vectors(df, leaf=60).collect()}
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    assert [got[i] for i in range(2400)] == ((unit @ unit.T >= 0.95).sum(axis=1) - 1).tolist()
