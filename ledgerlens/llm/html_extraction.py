@@ -4,8 +4,9 @@ The standard library's parser streams events. Each block of text becomes a line
 and its tags; the ratios of lines are smoothed with a Gaussian, and a threshold (their standard
 deviation, at most their mean) clusters them into content and the rest. Subtrees that are never
 main text by their element, role or class names (menus, adverts, comments, ...) give no lines. The
-content lines choose the region: the articles they lie in, or else the deepest element that holds
-nearly all of their text; all lines of the region are kept.
+content lines choose the region: the articles they lie in, or else the smallest element that holds
+them all and every heading (never a heading, list, paragraph or the like itself); all lines of the
+region are kept.
 
 Defined results: a missing or empty page has the empty text; broken nesting is repaired the way
 browsers do for paragraphs and list items; character references are decoded; every run of white
@@ -44,31 +45,36 @@ _CLOSES = {"li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozens
            "th": frozenset(["td", "th"]), "option": frozenset(["option"])}
 _SCOPES = frozenset("ul ol dl table article section main div body".split())
 
-#: Width of the smoothing in lines, and share of the content's text that the region must hold.
-SIGMA, HELD = 1.0, 0.9
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Elements that are parts of a text, so never all of it.
+_PARTS = _INLINE | _HEADINGS | frozenset(
+    "p pre ul ol li dl dt dd blockquote figure figcaption address details summary caption hgroup "
+    "header".split())
+
+#: Width of the smoothing in lines.
+SIGMA = 1.0
 
 
 class _Lines(HTMLParser):
-    """Collects (text, tags, link characters, chain of open elements) of every block."""
+    """Collects (text, tags, chain of open elements) of every block."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.open: list[tuple[str, int, bool]] = []  # name, number, never main text
         self.names: list[str] = ["page"]
-        self.never = self.links = self.tags = self.linked = 0
+        self.never = self.tags = 0
         self.text: list[str] = []
-        self.lines: list[tuple[str, int, int, tuple[int, ...]]] = []
+        self.lines: list[tuple[str, int, tuple[int, ...]]] = []
 
     def flush(self) -> None:
         text = " ".join("".join(self.text).split())
         if text:
-            self.lines.append((text, self.tags, self.linked, tuple(n for _, n, _ in self.open)))
-        self.text, self.tags, self.linked = [], 0, 0
+            self.lines.append((text, self.tags, tuple(n for _, n, _ in self.open)))
+        self.text, self.tags = [], 0
 
     def leave(self, at: int) -> None:
-        for name, _, never in self.open[at:]:
+        for _, _, never in self.open[at:]:
             self.never -= never
-            self.links -= name == "a"
         del self.open[at:]
 
     def unwanted(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
@@ -111,7 +117,6 @@ class _Lines(HTMLParser):
             self.open.append((tag, len(self.names), never))
             self.names.append(tag)
             self.never += never
-            self.links += tag == "a"
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -132,8 +137,6 @@ class _Lines(HTMLParser):
     def handle_data(self, data):
         if not self.never:
             self.text.append(data)
-            if self.links:
-                self.linked += len(data)
 
 
 def smoothed(values: list[float], sigma: float = SIGMA) -> list[float]:
@@ -167,23 +170,22 @@ def main_text(html: str | None) -> str:
     lines = parser.lines
     if not lines:
         return ""
-    chosen = content_lines([len(text) / max(1, tags) for text, tags, _, _ in lines])
-    weight: dict[int, int] = {0: 0}
+    chosen = content_lines([len(text) / max(1, tags) for text, tags, _ in lines])
     articles: dict[int, None] = {}
-    for (text, _, _, chain), content in zip(lines, chosen):
+    held: list[tuple[int, ...]] = []
+    for (_, _, chain), content in zip(lines, chosen):
         if content:
-            for n in (0, *chain):
-                weight[n] = weight.get(n, 0) + len(text)
             outer = [n for n in chain if parser.names[n] == "article"] or [
                 n for n in chain if parser.names[n] == "main"]
             if outer:
                 articles[outer[0]] = None
+        if content or any(parser.names[n] in _HEADINGS for n in chain):
+            held.append(chain)
     if articles:
-        return " ".join(text for text, _, _, chain in lines if not articles.keys().isdisjoint(chain))
-    region = max(n for n, held in weight.items()
-                 if held >= HELD * weight[0] and parser.names[n] not in ("p", *_INLINE))
-    return " ".join(text for text, _, linked, chain in lines
-                    if (not region or region in chain) and 2 * linked <= len(text))
+        return " ".join(text for text, _, chain in lines if not articles.keys().isdisjoint(chain))
+    around = [n for n, *others in zip(*held) if all(n == other for other in others)]
+    region = max((n for n in around if parser.names[n] not in _PARTS), default=0)
+    return " ".join(text for text, _, chain in lines if not region or region in chain)
 
 
 def extract(pages: DataFrame, html: str = "html", into: str = "text") -> DataFrame:

@@ -98,6 +98,27 @@ def test_main_text(html, text):
     assert html_extraction.main_text(html) == text
 
 
+LINES = " ".join(f"<p>Line {i} of a body that is long enough to hold nearly all text.</p>"
+                 for i in range(40))
+
+
+@pytest.mark.parametrize("html, text", [
+    (f"<div><h1>title</h1><pre>{'long ' * 200}</pre><p>short</p></div>",
+     f"title {'long ' * 200}short"),
+    (f"<body><h1>A title</h1><div>{LINES}</div></body>", f"A title {LINES}"),
+    (f"<body><div><h1>A title</h1><ul><li>1<li>2<li>3<li>4<li>5</ul></div><div>{LINES}</div></body>",
+     f"A title 1 2 3 4 5 {LINES}"),
+    (f"<body><div>{LINES}</div><p>short</p></body>", f"{LINES} short"),
+    (f"<body><ul><li>{'many words ' * 90}</li></ul><p>end</p><nav>Menu</nav></body>",
+     f"{'many words ' * 90}end"),
+    ("<div><p>Some words.</p><p><a href=x>A paragraph that is one link</a></p><p>More.</p></div>",
+     "Some words. A paragraph that is one link More."),
+    ("<div class=menu><h2>Menu</h2></div><div><p>Text only.</p></div>", "Text only."),
+])
+def test_pages_without_article_lose_nothing(html, text):
+    assert html_extraction.main_text(html) == text.replace("<p>", "").replace("</p>", "")
+
+
 def test_html_operator(spark):
     long = "<article>" + "<p>words of a page</p>" * 20_000 + "</article>"
     df = spark.createDataFrame([(1, "u", None), (2, "u", long), (2, "u", long)],
