@@ -138,9 +138,10 @@ def occurrences(df: DataFrame, symbols_of: Callable, window: int, k: int,
     """
     carried = df.columns[:-1]
 
-    def decided(anchor, context, owner, key, low, shape):
+    def decided(anchor, context, owner, document, key, low, shape):
         """Rows of one batch in an order by context, with their deal and state."""
-        order = np.lexsort((low, owner, context, anchor))
+        # by document, not by owner: places of repeated rows must come side by side
+        order = np.lexsort((low, document, context, anchor))
         anchor, context, owner, key, low, shape = (
             x[order] for x in (anchor, context, owner, key, low, shape))
         new_anchor = np.concatenate(([True], anchor[1:] != anchor[:-1]))
@@ -170,6 +171,7 @@ def occurrences(df: DataFrame, symbols_of: Callable, window: int, k: int,
                 part.select(carried), sort_keys=[(c, "ascending") for c in carried],
                 null_placement="at_start"))
             keys = part.column(len(carried) - 1).to_numpy().view(np.uint64)
+            documents = np.cumsum(np.concatenate(([0], keys[1:] != keys[:-1])))
             for rows, symbols, starts, ends in symbol_batches(part.column(len(carried)),
                                                               symbols_of):
                 runs = list(owned_runs(symbols, starts, ends, window, k))
@@ -177,7 +179,8 @@ def occurrences(df: DataFrame, symbols_of: Callable, window: int, k: int,
                     continue
                 owner, low, count, place, anchor, context = map(np.concatenate, zip(*runs))
                 deal, context, owner, low, shape = decided(
-                    anchor, context, owner, keys[owner + rows], low, ((place - low) << 16) | count)
+                    anchor, context, owner, documents[owner + rows], keys[owner + rows], low,
+                    ((place - low) << 16) | count)
                 row = pa.array(owner + rows)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(deal.view(np.int64)), pa.array(context.view(np.int64)),
@@ -196,6 +199,12 @@ def windows_of(shape):
     return (shape >> 16) & 0xFFFF, shape & 0xFFFF
 
 
+def runs_of(alone: DataFrame) -> DataFrame:
+    """(key, runs): each run of a document once, also if its copies were dealt in several ways."""
+    shape = F.col("shape").bitwiseAND(F.lit((1 << 32) - 1)).alias("shape")
+    return alone.groupBy("key").agg(F.collect_set(F.struct("low", shape)).alias("runs"))
+
+
 def symbol_batches(texts: pa.Array, symbols_of: Callable, size: int = 1 << 22):
     """Cut an Arrow batch of binaries in runs of whole texts of about ``size`` bytes."""
     if not len(texts):

@@ -36,7 +36,7 @@ def _documents(df: DataFrame, id: str, text: str) -> DataFrame:
 
 def _edges(documents: DataFrame, alone: DataFrame, window: int) -> DataFrame:
     """(edge, head, tail, key, at) of all windows of the occurrences in ``alone``."""
-    runs = alone.groupBy("key").agg(F.collect_list(F.struct("low", "shape")).alias("runs"))
+    runs = anchors.runs_of(alone)
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
@@ -55,7 +55,8 @@ def _edges(documents: DataFrame, alone: DataFrame, window: int) -> DataFrame:
                     [*map(pa.array, found), pa.array(np.full(len(at), key)), pa.array(at)],
                     ["edge", "head", "tail", "key", "at"])
 
-    return (documents.select("key", "text").join(runs, "key")
+    # repeated rows are one document, so each edge comes once for each of its places
+    return (documents.select("key", "text").join(runs, "key").dropDuplicates(["key"])
             .mapInArrow(batches, "edge bigint, head bigint, tail bigint, key bigint, at bigint"))
 
 

@@ -178,7 +178,7 @@ def _contexts(documents: DataFrame, alone: DataFrame, window: int, k: int) -> Da
     """
     span = window - k
     step = -(-(span + 1) // KINDS)
-    runs = alone.groupBy("key").agg(F.collect_list(F.struct("low", "shape")).alias("runs"))
+    runs = anchors.runs_of(alone)
     names = ["group", "id", "key", "place", "least", "most", "left", "right"]
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -212,7 +212,8 @@ def _contexts(documents: DataFrame, alone: DataFrame, window: int, k: int) -> Da
                      pa.array(left, pa.binary()), pa.array(right, pa.binary())], names)
 
     kind = dict(documents.dtypes)["id"]
-    joined = documents.select("key", "text", "id").join(runs, "key")
+    # repeated rows are one document, so each context comes once
+    joined = documents.select("key", "text", "id").join(runs, "key").dropDuplicates(["key"])
     return joined.mapInArrow(
         batches, f"group bigint, id {kind}, key bigint, place bigint, least int, most int, "
                  "left binary, right binary")

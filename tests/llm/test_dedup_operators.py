@@ -65,6 +65,19 @@ def test_repeated_rows_are_one_document(spark):
         copies, window=12, k=5).collect()) == [(1, 0), (2, len(text)), (2, len(text))]
 
 
+def test_repeated_rows_beside_documents_that_share_a_part(spark):
+    rows = texts(5, "ab", "")
+    got = [(r.id, r.n_bytes, r.n_removed, len(r.spans), bytes(r.kept)) for r in
+           suffix_array.remove_earlier_strings(frame(spark, rows + rows), window=12, k=5).collect()]
+    want = [(d, *found) for d, found in earlier_bytes(rows, 12).items()]
+    assert sorted(got, key=str) == sorted(want + want, key=str)
+    rows = texts(6, "abcd", " ")
+    got = [(r.id, r.n_words, r.n_removed, r.kept) for r in
+           substring_dedup.remove_repeats(frame(spark, rows + rows), window=8, anchor=3).collect()]
+    want = [(d, *found) for d, found in repeated_words(rows, 8).items()]
+    assert sorted(got, key=str) == sorted(want + want, key=str)
+
+
 def test_empty_tables(spark):
     empty = frame(spark, [(1, "a")]).limit(0)
     assert suffix_array.remove_earlier_strings(empty).count() == 0
