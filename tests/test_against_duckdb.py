@@ -1,12 +1,13 @@
-"""Every named query against its SQL counterpart in an independent engine."""
+"""Every named query of the core against its SQL counterpart in an independent engine."""
 
 import pytest
 
 import __spark_entry__ as entry_points
 from compare_engines import connect, duck_rows, spark_rows
+from ledgerlens.plans import catalogue, oracle
 
-QUERIES = entry_points.queries()
-SQL = entry_points.oracle_sql()
+QUERIES = catalogue.queries()
+SQL = oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -16,6 +17,8 @@ def duck(sf):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(SQL) <= set(entry_points.oracle_sql())
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
