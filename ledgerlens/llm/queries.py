@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from ledgerlens.llm import (
-    embedding_dedup, html_extraction, mixing, oracle, packing, quality_classifier,
-    quality_rules, secret_scans, simhash, substring_dedup, suffix_array,
+    alignment, embedding_dedup, html_extraction, mixing, oracle, packing, quality_classifier,
+    quality_rules, secret_scans, simhash, substring_dedup, suffix_array, token_counts,
 )
 from ledgerlens.llm.text import table
 
@@ -95,6 +95,18 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
                        F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    counted = token_counts.count_tokens(table(spark, folder, "documents").select("doc_id", "text"))
+    return counted.select(F.col("id").alias("doc_id"), "n_bytes", "n_tokens",
+                          (F.col("n_tokens") > token_counts.LIMIT).alias("over_limit"))
+
+
+def op12_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.align(
+        table(spark, folder, "documents").select("doc_id", "text")).withColumnRenamed(
+            "id", "doc_id")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_suffix_array_dedup": op1_suffix_array_dedup,
@@ -107,6 +119,8 @@ def queries() -> dict[str, Query]:
         "op8_simhash_near_dedup": op8_simhash_near_dedup,
         "op9_quality_classifier": op9_quality_classifier,
         "op10_substring_dedup": op10_substring_dedup,
+        "op11_token_counts": op11_token_counts,
+        "op12_tokenizer_alignment": op12_tokenizer_alignment,
         "pipeline": corpus_pipeline.run,
     }
 

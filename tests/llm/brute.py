@@ -138,3 +138,39 @@ def best_fit(lengths, capacity):
 
 def held_out(id):
     return id is not None and zlib.crc32(str(id).encode()) % 3 == 1
+
+
+def aligned(texts, of_a, of_b, encode_a, encode_b):
+    """Figures of each text by walking its bytes; ``of_`` gives an id's bytes."""
+    import hashlib
+
+    rows, links = [], []
+    for text in texts:
+        raw, sides = (" " + (text or "")).encode(), []
+        for of, ids in ((of_a, encode_a(" " + (text or ""))), (of_b, encode_b(text or ""))):
+            sides.append([(i, k) for k, i in enumerate(ids) for _ in of[i]])
+            if not text or b"".join(of[i] for i in ids) != raw:
+                sides[-1] = None
+        if None in sides:
+            rows.append((0, 0, 0, ""))
+            links.append(Counter())
+            continue
+        a, b = sides
+        found = list(dict.fromkeys(zip(a, b)))
+        links.append(Counter((x[0], y[0]) for x, y in found))
+        groups, open_a, open_b = [], [], []
+        for i, (x, y) in enumerate(zip(a, b)):
+            end_a, end_b = a[i + 1:i + 2] != [x], b[i + 1:i + 2] != [y]
+            open_a += [x[0]] * end_a
+            open_b += [y[0]] * end_b
+            if end_a and end_b:
+                groups.append(",".join(map(str, open_a)) + "|" + ",".join(map(str, open_b)))
+                open_a, open_b = [], []
+        rows.append((len(set(a)), len(set(b)), len(groups),
+                     hashlib.sha256(";".join(groups).encode()).hexdigest()))
+    total = sum(links, Counter())
+    best = {}
+    for (_, b), n in total.items():
+        best[b] = max(best.get(b, 0), n)
+    return [(*r[:3], sum(l.values()), sum(n for p, n in l.items() if total[p] == best[p[1]]),
+             sum(n * total[p] for p, n in l.items()), r[3]) for r, l in zip(rows, links)]
