@@ -405,10 +405,9 @@ def stitched(pieces: DataFrame) -> DataFrame:
             .mapInArrow(batches, "key bigint, stitched string"))
 
 
-def pair_weights(pairs: DataFrame) -> DataFrame:
-    """(pair, n, best): links of a pair in the corpus, 1 if no pair of its B id has more, else 0."""
-    counts = stage(pairs.groupBy("pair").agg(F.sum("links").alias("n")), "pairs").withColumn(
-        "b", F.col("pair").bitwiseAND(F.lit(B_ID)))
+def pair_weights(counts: DataFrame) -> DataFrame:
+    """(pair, n, best) of counted pairs (pair, n): best is 1 if no pair of its B id has more."""
+    counts = counts.withColumn("b", F.col("pair").bitwiseAND(F.lit(B_ID)))
     most = counts.groupBy("b").agg(F.max("n").alias("most"))
     return counts.join(most, "b").select(
         "pair", "n", (F.col("n") == F.col("most")).cast("bigint").alias("best"))
@@ -450,7 +449,8 @@ def align(df: DataFrame, id: str = "doc_id", text: str = "text", tokenizer_a: st
     path_b = tokenizer_b or tokenizing.vocabulary(TOKENIZER_B)
     rows = stage(merged(tokenised(df, id, text, path_a, path_b, work), path_a, path_b), "merged")
     pieces, pairs = rows.where("pair is null"), rows.where("pair is not null")
-    weights = stage(pair_weights(pairs), "weights")
+    counts = stage(pairs.groupBy("pair").agg(F.sum("links").alias("n")), "pairs")
+    weights = stage(pair_weights(counts), "weights")
     sums = piece_sums(pairs, weights)
     figures = ("n_a", "n_b", "n_links", "n_ends", "count_sum", "n_best")
     texts = (pieces.select("block", "place", "key", "id", "piece", "n_a", "n_b", "n_links",
@@ -459,6 +459,9 @@ def align(df: DataFrame, id: str = "doc_id", text: str = "text", tokenizer_a: st
                  F.max_by("id", "piece").alias("id"), F.max("whole").alias("whole"),
                  *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in figures]))
     long = stitched(pieces.where("whole is null"))
-    return texts.join(long, "key", "left").select(
+    aligned = stage(texts.join(long, "key", "left").select(
         "id", "n_a", "n_b", F.col("n_ends").alias("n_groups"), "n_links", "n_best", "count_sum",
-        F.coalesce("whole", "stitched").alias("groups_sha256"))
+        F.coalesce("whole", "stitched").alias("groups_sha256")), "aligned")
+    for table in (rows, counts, weights):
+        drop_staged(table)
+    return aligned

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from ledgerlens.llm import (
     alignment, embedding_dedup, html_extraction, mixing, oracle, packing, quality_classifier,
-    quality_rules, secret_scans, simhash, substring_dedup, suffix_array, token_counts,
+    quality_rules, secret_scans, simhash, spelling, substring_dedup, suffix_array, token_counts,
 )
 from ledgerlens.llm.text import table
 
@@ -107,6 +107,10 @@ def op12_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
             "id", "doc_id")
 
 
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.spelling_groups(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_suffix_array_dedup": op1_suffix_array_dedup,
@@ -121,6 +125,7 @@ def queries() -> dict[str, Query]:
         "op10_substring_dedup": op10_substring_dedup,
         "op11_token_counts": op11_token_counts,
         "op12_tokenizer_alignment": op12_tokenizer_alignment,
+        "op13_spelling_variants": op13_spelling_variants,
         "pipeline": corpus_pipeline.run,
     }
 

@@ -101,12 +101,16 @@ def count_tokens(df: DataFrame, id: str = "doc_id", text: str = "text",
                   .groupBy("content").agg(F.min("n_tokens").alias("n_tokens")), "known")
     missing = stage(wanted.join(known, "content", "left_anti"), "missing")
     counts = known
+    staged = [rows, known, missing]
     if not missing.isEmpty():
         new = stage(encode(_missing_texts(df, missing, text), path), "counted")
+        staged.append(new)
         (new.select(F.lit(version).alias("tokenizer"), "content", "n_tokens")
          .write.mode("append").partitionBy("tokenizer").parquet(folder))
         counts = known.unionByName(new)
-    drop_staged(missing)
     # one row a content, so the join multiplies nothing and Spark can split a content of many rows
-    counts = stage(counts, "counts")
-    return rows.join(counts, "content").select("id", "n_bytes", "n_tokens")
+    staged.append(counts := stage(counts, "counts"))
+    counted = stage(rows.join(counts, "content").select("id", "n_bytes", "n_tokens"), "token-counts")
+    for table in staged:
+        drop_staged(table)
+    return counted

