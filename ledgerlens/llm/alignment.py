@@ -5,6 +5,10 @@ offsets. Merging the lists meets every pair of overlapping tokens once: a step o
 stretch of bytes that one A and one B token share. Where an A and a B token end together, a group of
 tokens ends.
 
+- *Tokens.* Both tokenizers cut before a lone space or line break between other characters, so the
+  text behind one has the same tokens wherever it stands. Workers remember the tokens of such
+  stretches. A tokenizer without this property, or a stretch whose tokens give other bytes, makes
+  the whole text go through the tokenizer.
 - *Pieces.* The merge of a text is cut along diagonals of its merge matrix: a binary search finds
   how many A ends are among the first ``d`` merged ends, for every multiple ``d`` of the work of a
   piece. Pieces of all texts have the same work at most and need nothing of each other.
@@ -25,7 +29,10 @@ gives an empty result; columns other than the id and the text are not looked at.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+import json
+import re
+from array import array
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -39,15 +46,15 @@ from ledgerlens.plans.staging import drop_staged, stage
 TOKENIZER_A, TOKENIZER_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Merged ends of a piece at most; a count of links within a piece fits 16 bits.
 WORK = 32_768
-#: Tokens of a block whose pairs are counted together, and pieces of it at most.
-BLOCK, PIECES = 2_000_000, 65_536
+#: Characters whose tokens are one block, and pieces of it at most.
+BLOCK, PIECES = 1_000_000, 65_536
+#: Stretches that a Python worker remembers, and characters of one worth remembering.
+REMEMBERED, MEMORABLE = 400_000, 64
 #: Bits of a B id within a pair, and of a piece's place behind it.
 ID_BITS, PLACE_BITS = 24, 16
 B_ID = (1 << ID_BITS) - 1
 SPACE = "▁"
 
-PIECE = ("key bigint, id {}, piece int, pieces int, a binary, b binary, next_a int, next_b int, "
-         "start_a bigint, start_b bigint")
 MERGED = ("block bigint, place int, key bigint, id {}, piece int, n_a bigint, n_b bigint, "
           "n_links bigint, n_ends bigint, whole string, head_a string, head_b string, "
           "inner string, tail_a string, tail_b string, pair bigint, links bigint, postings binary")
@@ -101,56 +108,83 @@ def cut(a: np.ndarray, b: np.ndarray, work: int) -> list[tuple[int, int]]:
             (len(a), len(b))]
 
 
-def tokenised(df: DataFrame, id: str, text: str, path_a: str, path_b: str,
-              work: int = WORK) -> DataFrame:
-    """The pieces of every row: ids of both tokenizers, those after them and where they start."""
-    names = ["key", "id", "piece", "pieces", "a", "b", "next_a", "next_b", "start_a", "start_b"]
+class Tokens:
+    """Ids of texts under both tokenizers, as 32-bit numbers.
 
-    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
+    A stretch goes without the space before it, but with a line break before it.
+    """
 
-        (_, encode_a), (_, encode_b) = (tokenizing.encoder(path_a, plain=True),
-                                        tokenizing.encoder(path_b))
-        of_a = tokenizing.kept(("bytes", path_a), lambda: bytes_of_a(path_a))
-        of_b = tokenizing.kept(("bytes", path_b), lambda: bytes_of_b(path_b))
-        long_a, long_b = lengths(of_a), lengths(of_b)
-        key = TaskContext.get().partitionId() << 40
-        for part in parts:
-            at = 0
-            for texts in tokenizing.by_size(part.column(1).to_pylist()):
-                rows, cells = [], []
-                for t, ids_a, ids_b in zip(texts, encode_a([" " + t for t in texts]),
-                                           encode_b(texts)):
-                    rows.append(at)
-                    at += 1
-                    raw = (" " + t).encode()
-                    if not t or b"".join(map(of_a.__getitem__, ids_a)) != raw or b"".join(
-                            map(of_b.__getitem__, ids_b)) != raw:
-                        cells.append((key, 0, 1, b"", b"", -1, -1, 0, 0))
-                        key += 1
-                        continue
-                    a, b = np.array(ids_a, "<u4"), np.array(ids_b, "<u4")
-                    if len(a) + len(b) <= work:
-                        cells.append((key, 0, 1, a.tobytes(), b.tobytes(), -1, -1, 0, 0))
-                        key += 1
-                        continue
-                    end_a, end_b = np.cumsum(long_a[a]), np.cumsum(long_b[b])
-                    borders = cut(end_a, end_b, work)
-                    for k, ((i, j), (p, q)) in enumerate(zip(borders, borders[1:])):
-                        cells.append((key, k, len(borders) - 1, a[i:p].tobytes(), b[j:q].tobytes(),
-                                      int(a[p]) if p < len(a) else -1,
-                                      int(b[q]) if q < len(b) else -1,
-                                      int(end_a[i - 1]) if i else 0, int(end_b[j - 1]) if j else 0))
-                    rows += [at - 1] * (len(borders) - 2)
-                    key += 1
-                columns = [pa.array(c, t) for c, t in zip(zip(*cells), (
-                    pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.int32(),
-                    pa.int32(), pa.int64(), pa.int64()))]
-                ids = part.column(0).take(pa.array(rows, pa.int64()))
-                yield pa.RecordBatch.from_arrays([columns[0], ids, *columns[1:]], names)
+    def __init__(self, path_a: str, path_b: str):
+        (_, self.encode_a), (pieces, self.encode_b) = (tokenizing.encoder(path_a, plain=True),
+                                                       tokenizing.encoder(path_b))
+        self.of_a, self.of_b = bytes_of_a(path_a), bytes_of_b(path_b)
+        self.long_a, self.long_b = lengths(self.of_a), lengths(self.of_b)
+        with open(path_a, encoding="utf-8") as f:
+            said = json.load(f)
+        before = said.get("pre_tokenizer") or {}
+        self.apart = not said.get("normalizer") and before.get("type") == "ByteLevel" and (
+            before.get("use_regex", True)) and not any(
+            re.search(f"[^{SPACE}]{SPACE}|\n", pieces.id_to_piece(i))
+            for i in range(pieces.get_piece_size()))
+        self.known, self.older = {}, {}
+
+    def _same(self, ids_a: list[int], ids_b: list[int], raw: bytes) -> bool:
+        return raw == b"".join(map(self.of_a.__getitem__, ids_a)) == b"".join(
+            map(self.of_b.__getitem__, ids_b))
+
+    def _learn(self, new: list[str]) -> dict[str, tuple[bytes, bytes] | None]:
+        """Ids of stretches; None where bytes differ."""
+        found = {}
+        raw = [s if s[0] == "\n" else " " + s for s in new]
+        for s, r, a, b in zip(new, raw, self.encode_a(raw), self.encode_b(new)):
+            if s[0] == "\n":  # behind the space that this tokenizer puts before any text
+                b = b[1:] if self.of_b[b[0]] == b" " else []
+            found[s] = (array("I", a).tobytes(), array("I", b).tobytes()) if (
+                self._same(a, b, r.encode())) else None
+        return found
+
+    @staticmethod
+    def _alone(stretch: str) -> bool:
+        """Whether it is cut off by lone white space; it may keep the line break before it."""
+        first = stretch[:2].removeprefix("\n")[:1]
+        return first != "" and not first.isspace() and not stretch[-1].isspace()
+
+    def __call__(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
+        """Ids of each text, none where it is empty or its tokens give other bytes."""
+        parts = [t.replace("\n", " \n").split(" ") if self.apart else [] for t in texts]
+        cells = [list(map(self.known.get, p)) for p in parts]
+        new = {s for p, c in zip(parts, cells) if None in c for s, x in zip(p, c) if x is None}
+        here = {s: self.older[s] for s in new if s in self.older}
+        here.update(self._learn([s for s in new if s not in here and self._alone(s)]))
+        if len(self.known) > REMEMBERED:
+            self.known, self.older = {}, self.known
+        self.known.update((s, x) for s, x in here.items() if x and len(s) <= MEMORABLE)
+        out = []
+        for t, p, found in zip(texts, parts, cells):
+            if None in found:
+                found = [x or here.get(s) for s, x in zip(p, found)]
+            if t and found and None not in found:
+                out.append((b"".join([x[0] for x in found]), b"".join([x[1] for x in found])))
+                continue
+            a, b = self.encode_a([" " + t])[0], self.encode_b([t])[0]
+            out.append((array("I", a).tobytes(), array("I", b).tobytes()) if (
+                t and self._same(a, b, (" " + t).encode())) else (b"", b""))
+        return out
 
-    rows = df.select(F.col(id).alias("id"), whole(text).alias("text"))
-    return rows.mapInArrow(batches, PIECE.format(dict(rows.dtypes)["id"]))
+
+def pieces(tokens: Tokens, texts: list[str], work: int) -> Iterator[tuple]:
+    """(text's number, piece, pieces, A ids, B ids, the next A and B id or -1, where both start)."""
+    for number, (ids_a, ids_b) in enumerate(tokens(texts)):
+        if len(ids_a) + len(ids_b) <= 4 * work:
+            yield number, 0, 1, ids_a, ids_b, -1, -1, 0, 0
+            continue
+        a, b = np.frombuffer(ids_a, np.uint32), np.frombuffer(ids_b, np.uint32)
+        end_a, end_b = np.cumsum(tokens.long_a[a]), np.cumsum(tokens.long_b[b])
+        borders = cut(end_a, end_b, work)
+        for k, ((i, j), (p, q)) in enumerate(zip(borders, borders[1:])):
+            yield (number, k, len(borders) - 1, ids_a[4 * i:4 * p], ids_b[4 * j:4 * q],
+                   int(a[p]) if p < len(a) else -1, int(b[q]) if q < len(b) else -1,
+                   int(end_a[i - 1]) if i else 0, int(end_b[j - 1]) if j else 0)
 
 
 def _joined(cells: list[bytes], after: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -161,7 +195,7 @@ def _joined(cells: list[bytes], after: np.ndarray) -> tuple[np.ndarray, np.ndarr
     ids = np.zeros(begin[-1], np.int64)
     mine = np.ones(begin[-1], bool)
     mine[begin[1:] - 1] = False
-    ids[mine] = np.frombuffer(b"".join(cells), "<u4")
+    ids[mine] = np.frombuffer(b"".join(cells), np.uint32)
     ids[begin[1:] - 1] = after
     return ids, begin, own
 
@@ -265,66 +299,57 @@ def group_codes(block: Block) -> tuple[np.ndarray, np.ndarray]:
     return group, code
 
 
-def merged(pieces: DataFrame, path_a: str, path_b: str) -> DataFrame:
+def merged(df: DataFrame, id: str, text: str, path_a: str, path_b: str,
+           work: int = WORK) -> DataFrame:
     """Rows of pieces (their figures and groups) and rows of pairs of a block (their postings)."""
-    kind = dict(pieces.dtypes)["id"]
-    schema = MERGED.format(kind)
+    rows = df.select(F.col(id).alias("id"), whole(text).alias("text"))
+    schema = MERGED.format(dict(rows.dtypes)["id"])
     names = [c.split()[0] for c in schema.split(", ")]
+    texts_of_piece = ("whole", "head_a", "head_b", "inner", "tail_a", "tail_b")
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        long_a = tokenizing.kept(("long", path_a), lambda: lengths(bytes_of_a(path_a)))
-        long_b = tokenizing.kept(("long", path_b), lambda: lengths(bytes_of_b(path_b)))
+        tokens = tokenizing.kept(("tokens", path_a, path_b), lambda: Tokens(path_a, path_b))
         table = tokenizing.kept(("digits", path_a, path_b), lambda: digits(
-            max(len(long_a), len(long_b)), b",|;"))
-        number = TaskContext.get().partitionId() << 40
+            max(len(tokens.of_a), len(tokens.of_b)), b",|;"))
+        key = number = TaskContext.get().partitionId() << 40
 
-        def batch(size: int, **columns: pa.Array) -> pa.RecordBatch:
+        def batch(size: int, id_type: pa.DataType, **columns) -> pa.RecordBatch:
             types = {"id": id_type, "place": pa.int32(), "piece": pa.int32(),
-                     "postings": pa.binary(), **dict.fromkeys(
-                         ("whole", "head_a", "head_b", "inner", "tail_a", "tail_b"), pa.string())}
+                     "postings": pa.binary(), **dict.fromkeys(texts_of_piece, pa.string())}
             return pa.RecordBatch.from_arrays(
-                [columns[n] if n in columns else pa.nulls(size, types.get(n, pa.int64()))
-                 for n in names], names)
+                [pa.array(columns[n], types.get(n, pa.int64())) if n in columns
+                 else pa.nulls(size, types.get(n, pa.int64())) for n in names], names)
 
         for part in parts:
-            id_type = part.column("id").type
-            sizes = np.cumsum([(len(x) + len(y)) // 4 for x, y in zip(
-                part.column("a").to_pylist(), part.column("b").to_pylist())])
-            begin = 0
-            while begin < part.num_rows:
-                done = sizes[begin - 1] if begin else 0
-                stop = max(begin + 1, int(np.searchsorted(sizes, done + BLOCK, "right")))
-                own = part.slice(begin, min(stop - begin, PIECES))
-                begin += own.num_rows
-                column = lambda n: own.column(n).to_numpy(zero_copy_only=False)
-                block = Block(own.column("a").to_pylist(), own.column("b").to_pylist(),
-                              column("next_a"), column("next_b"), column("start_a"),
-                              column("start_b"), long_a, long_b)
-                pair, place = block.links()
-                n_links = np.bincount(place, minlength=own.num_rows)
-                n_ends = np.bincount(block.of_b[block.at_b][block.ends_group],
-                                     minlength=own.num_rows)
-                texts = _texts(block, column("pieces"), table)
-                size = own.num_rows
-                yield batch(
-                    size, block=pa.array(np.full(size, number)), key=own.column("key"),
-                    place=pa.array(np.arange(size, dtype=np.int32)), id=own.column("id"),
-                    piece=own.column("piece"), n_a=pa.array(block.own_a),
-                    n_b=pa.array(block.own_b), n_links=pa.array(n_links),
-                    n_ends=pa.array(n_ends),
-                    **{n: pa.array(t, pa.string()) for n, t in zip(
-                        ("whole", "head_a", "head_b", "inner", "tail_a", "tail_b"), zip(*texts))})
-                found, links, postings = _postings(pair, place)
-                yield batch(len(found), block=pa.array(np.full(len(found), number)),
-                            pair=pa.array(found), links=pa.array(links), postings=postings)
-                number += 1
-
-    return pieces.mapInArrow(batches, schema)
-
-
-def _texts(block: Block, pieces: np.ndarray, table: np.ndarray) -> list[tuple]:
+            at, id_type = 0, part.column(0).type
+            for texts in tokenizing.by_size(part.column(1).to_pylist(), BLOCK):
+                cells = list(pieces(tokens, texts, work))
+                for begin in range(0, len(cells), PIECES):
+                    of, piece, count, *sides = zip(*cells[begin:begin + PIECES])
+                    size, of = len(of), np.array(of)
+                    block = Block(*sides[:2], *map(np.array, sides[2:]), tokens.long_a,
+                                  tokens.long_b)
+                    pair, place = block.links()
+                    ended = block.of_b[block.at_b][block.ends_group]
+                    yield batch(
+                        size, id_type, block=np.full(size, number), place=np.arange(size),
+                        key=key + of, id=part.column(0).take(pa.array(at + of)), piece=piece,
+                        n_a=block.own_a, n_b=block.own_b,
+                        n_links=np.bincount(place, minlength=size),
+                        n_ends=np.bincount(ended, minlength=size),
+                        **dict(zip(texts_of_piece, zip(*_texts(block, count, table)))))
+                    found, links, postings = _postings(pair, place)
+                    yield batch(len(found), id_type, block=np.full(len(found), number),
+                                pair=found, links=links, postings=postings)
+                    number += 1
+                at, key = at + len(texts), key + len(texts)
+
+    return rows.mapInArrow(batches, schema)
+
+
+def _texts(block: Block, pieces: Sequence[int], table: np.ndarray) -> list[tuple]:
     """Per piece the hash of a text's whole groups, or what it adds to those of a longer text."""
     group, codes = group_codes(block)
     upto_a = block.first_a - np.arange(len(block.first_a))
@@ -364,13 +389,13 @@ def _postings(pair: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarr
     times = np.diff(np.append(at, len(both)))
     pair, place = both[at] >> PLACE_BITS, both[at] & (1 << PLACE_BITS) - 1
     first = np.flatnonzero(np.append(True, pair[1:] != pair[:-1]))
-    packed = (place.astype("<u4") << 16 | times.astype("<u4")).tobytes()
+    packed = (place.astype(np.uint32) << 16 | times.astype(np.uint32)).tobytes()
     offsets = np.append(first, len(pair)).astype(np.int32) * 4
     return pair[first], np.add.reduceat(times, first), pa.Array.from_buffers(
         pa.binary(), len(first), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(packed)])
 
 
-def stitched(pieces: DataFrame) -> DataFrame:
+def stitched(parts: DataFrame) -> DataFrame:
     """(key, groups_sha256) of texts of several pieces, hashed as a stream over their pieces."""
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, digest, begun, open_a, open_b = None, None, False, [], []
@@ -400,8 +425,8 @@ def stitched(pieces: DataFrame) -> DataFrame:
         yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()),
                                           pa.array(hashes, pa.string())], ["key", "stitched"])
 
-    parts = pieces.select("key", "piece", "n_ends", "head_a", "head_b", "inner", "tail_a", "tail_b")
-    return (parts.repartition("key").sortWithinPartitions("key", "piece")
+    columns = ("key", "piece", "n_ends", "head_a", "head_b", "inner", "tail_a", "tail_b")
+    return (parts.select(*columns).repartition("key").sortWithinPartitions("key", "piece")
             .mapInArrow(batches, "key bigint, stitched string"))
 
 
@@ -418,7 +443,7 @@ def piece_sums(pairs: DataFrame, weights: DataFrame) -> DataFrame:
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             cells = part.column("postings").to_pylist()
-            packed = np.frombuffer(b"".join(cells), "<u4").astype(np.int64)
+            packed = np.frombuffer(b"".join(cells), np.uint32).astype(np.int64)
             if not len(packed):
                 continue
             spread = np.repeat(np.arange(len(cells)), [len(c) // 4 for c in cells])
@@ -447,18 +472,18 @@ def align(df: DataFrame, id: str = "doc_id", text: str = "text", tokenizer_a: st
     """(id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256) of every row."""
     path_a = tokenizer_a or tokenizing.vocabulary(TOKENIZER_A)
     path_b = tokenizer_b or tokenizing.vocabulary(TOKENIZER_B)
-    rows = stage(merged(tokenised(df, id, text, path_a, path_b, work), path_a, path_b), "merged")
-    pieces, pairs = rows.where("pair is null"), rows.where("pair is not null")
+    rows = stage(merged(df, id, text, path_a, path_b, work), "merged")
+    parts, pairs = rows.where("pair is null"), rows.where("pair is not null")
     counts = stage(pairs.groupBy("pair").agg(F.sum("links").alias("n")), "pairs")
     weights = stage(pair_weights(counts), "weights")
     sums = piece_sums(pairs, weights)
     figures = ("n_a", "n_b", "n_links", "n_ends", "count_sum", "n_best")
-    texts = (pieces.select("block", "place", "key", "id", "piece", "n_a", "n_b", "n_links",
+    texts = (parts.select("block", "place", "key", "id", "piece", "n_a", "n_b", "n_links",
                            "n_ends", "whole").join(sums, ["block", "place"], "left")
              .groupBy("key").agg(
                  F.max_by("id", "piece").alias("id"), F.max("whole").alias("whole"),
                  *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in figures]))
-    long = stitched(pieces.where("whole is null"))
+    long = stitched(parts.where("whole is null"))
     aligned = stage(texts.join(long, "key", "left").select(
         "id", "n_a", "n_b", F.col("n_ends").alias("n_groups"), "n_links", "n_best", "count_sum",
         F.coalesce("whole", "stitched").alias("groups_sha256")), "aligned")

@@ -90,7 +90,7 @@ def plain_alignment(rows):
         lambda t: a([t])[0], lambda t: b([t])[0]))]
 
 
-@pytest.mark.parametrize("work, block", [(alignment.WORK, alignment.BLOCK), (5, 40), (1, 7)])
+@pytest.mark.parametrize("work, block", [(alignment.WORK, alignment.BLOCK), (5, 200), (1, 70)])
 def test_alignment(spark, monkeypatch, work, block):
     monkeypatch.setattr(alignment, "BLOCK", block)
     rows = EDGES if work > 5 else [(d, t if t is None else t[:300]) for d, t in EDGES]
