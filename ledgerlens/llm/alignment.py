@@ -17,8 +17,8 @@ tokens ends.
 - *Groups.* A text of one piece has its groups whole. Pieces of longer texts give what they hold of
   the groups at their borders, and a sorted stream over the pieces stitches them.
 
-Counts over the corpus come back to the texts through one shuffle by pair: a row holds a pair and
-the pieces of a block that link it, so the commonest pair has one row a block.
+Counts over the corpus come back to the texts by a shuffle by pair and one by block: a row holds a
+pair and the pieces of a block that link it, so the commonest pair has one row a block.
 
 Defined results: a text that is missing or empty, or whose tokens give other bytes than the text
 behind a space, has no tokens, no links and an empty group string; missing and repeated ids and
@@ -49,7 +49,7 @@ WORK = 32_768
 #: Characters whose tokens are one block, and pieces of it at most.
 BLOCK, PIECES = 1_000_000, 65_536
 #: Stretches that a Python worker remembers, and characters of one worth remembering.
-REMEMBERED, MEMORABLE = 400_000, 64
+REMEMBERED, MEMORABLE = 250_000, 64
 #: Bits of a B id within a pair, and of a piece's place behind it.
 ID_BITS, PLACE_BITS = 24, 16
 B_ID = (1 << ID_BITS) - 1
@@ -460,8 +460,11 @@ def piece_sums(pairs: DataFrame, weights: DataFrame) -> DataFrame:
                  pa.array((where[first] & 0xFFFF).astype(np.int32)),
                  *[pa.array(s) for s in sums]], ["block", "place", "count_sum", "n_best"])
 
-    weighed = pairs.select("block", "pair", "postings").join(weights, "pair").select(
-        "block", "postings", "n", "best")
+    # by pair to the counts, then back to the block, where the sums of a piece meet
+    weighed = (pairs.select("block", "pair", "postings")
+               .join(weights.hint("shuffle_merge"), "pair")
+               .select("block", "postings", "n", "best")
+               .repartition("block").sortWithinPartitions("block"))
     return (weighed.mapInArrow(batches, "block bigint, place int, count_sum bigint, n_best bigint")
             .groupBy("block", "place").agg(F.sum("count_sum").alias("count_sum"),
                                            F.sum("n_best").alias("n_best")))
