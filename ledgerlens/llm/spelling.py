@@ -39,6 +39,8 @@ RUNS, CAPITALS = "[A-Za-zÀ-ÿ]+", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 THINNED = 97
 LEAST_LENGTH, LEAST_COUNT, TIMES = 5, 3, 2
 FORWARDS, BACKWARDS = ">", "<"
+#: Stands for a word's end among the letters that follow a node.
+END = "."
 
 
 def _lowered(run: Column) -> Column:
@@ -116,10 +118,12 @@ def _prefixes(keys: DataFrame) -> DataFrame:
 
 
 def build_trie(keys: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Edges (node, first, label, child, leaf, leaf_n) and the words' own states (key, pos, node).
+    """Edges (node, first, label, child, leaf, leaf_n, below) and the words' own states (key, pos,
+    node).
 
     ``first`` is the label's first letter, empty where a word ends at the node. A leaf names its
-    word, with mark and in its direction; its child is null.
+    word, with mark and in its direction; its child is null. ``below`` has the first letters of the
+    child's edges, so that a state which can't go on there is never made.
     """
     prefixes = stage(_prefixes(keys), "prefixes")
     parting = (prefixes.groupBy("node").agg(F.min("after").alias("low"), F.max("after").alias("high"))
@@ -145,9 +149,15 @@ def build_trie(keys: DataFrame) -> tuple[DataFrame, DataFrame]:
     own = paths.select("key", F.explode(F.filter(
         "nodes", lambda x: x.depth >= F.col("least"))).alias("x")).select(
             "key", F.col("x.depth").alias("pos"), "x.node")
-    trie, own = stage(inner.unionByName(leaves), "trie"), stage(own, "own-paths")
-    drop_staged(prefixes)
-    drop_staged(paths)
+    inner, leaves = stage(inner, "inner-edges"), stage(leaves, "leaves")
+    starts = inner.select("node", "first").unionByName(leaves.select("node", "first"))
+    below = starts.groupBy(F.col("node").alias("child")).agg(F.concat_ws("", F.collect_set(
+        F.when(F.col("first") == "", END).otherwise(F.col("first")))).alias("below"))
+    trie = stage(inner.join(below, "child").unionByName(
+        leaves.withColumn("below", F.lit(None).cast("string"))), "trie")
+    own = stage(own, "own-paths")
+    for table in (prefixes, paths, inner, leaves):
+        drop_staged(table)
     return trie, own
 
 
@@ -156,6 +166,13 @@ def _fits(rest: Column, label: Column) -> Column:
     return F.when(F.col("leaf").isNull(), rest.startswith(label)).otherwise(rest == label)
 
 
+def _alive(states: DataFrame) -> DataFrame:
+    """States at a leaf, or at a node from which the word's next letter goes on."""
+    after = F.substring("key", F.col("pos") + 1, F.lit(1))
+    goes_on = F.col("below").contains(F.when(after == "", END).otherwise(after))
+    return states.where(F.col("leaf").isNotNull() | goes_on).drop("below")
+
+
 def _first_edits(own: DataFrame, trie: DataFrame) -> DataFrame:
     """States after one edit onto an edge beside the word's own path."""
     key, pos, label = F.col("key"), F.col("pos"), F.col("label")
@@ -167,8 +184,8 @@ def _first_edits(own: DataFrame, trie: DataFrame) -> DataFrame:
         F.when(some & _fits(rest, after), pos + size - 1),  # a letter more than the word has
         F.when(more & _fits(later, label), pos + size + 1))  # without a letter of the word
     beside = own.join(trie, "node").where(F.col("first") != F.substring(key, pos + 1, F.lit(1)))
-    return (beside.select("key", F.explode(edits).alias("to"), "child", "leaf", "leaf_n")
-            .where("to is not null").withColumnRenamed("to", "pos"))
+    return _alive(beside.select("key", F.explode(edits).alias("pos"), "child", "leaf", "leaf_n",
+                                "below").where("pos is not null"))
 
 
 def _next_level(states: DataFrame, trie: DataFrame) -> DataFrame:
@@ -176,8 +193,8 @@ def _next_level(states: DataFrame, trie: DataFrame) -> DataFrame:
     rest = F.substring("key", F.col("pos") + 1, F.length("key"))
     at = states.select("key", "pos", F.col("child").alias("node")).withColumn(
         "first", F.substring("key", F.col("pos") + 1, F.lit(1)))
-    return at.join(trie, ["node", "first"]).where(_fits(rest, F.col("label"))).select(
-        "key", (F.col("pos") + F.length("label")).alias("pos"), "child", "leaf", "leaf_n")
+    return _alive(at.join(trie, ["node", "first"]).where(_fits(rest, F.col("label"))).select(
+        "key", (F.col("pos") + F.length("label")).alias("pos"), "child", "leaf", "leaf_n", "below"))
 
 
 def near_words(words: DataFrame) -> DataFrame:
