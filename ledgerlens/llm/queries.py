@@ -96,7 +96,9 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op11_token_counts(spark: SparkSession, folder: str) -> DataFrame:
-    counted = token_counts.count_tokens(table(spark, folder, "documents").select("doc_id", "text"))
+    counted = token_counts.count_tokens(
+        table(spark, folder, "documents").select("doc_id", "text"),
+        cache=token_counts.cache_folder(spark, f"{folder}/documents"))
     return counted.select(F.col("id").alias("doc_id"), "n_bytes", "n_tokens",
                           (F.col("n_tokens") > token_counts.LIMIT).alias("over_limit"))
 

@@ -16,6 +16,7 @@ result and appends nothing; columns other than the id and the text are not looke
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -37,8 +38,9 @@ def content_digest(text: str):
     return F.unhex(F.sha2(whole(text), 256))
 
 
-def cache_folder(spark: SparkSession) -> str:
-    return f"{staging_folder(spark)}/{CACHE}"
+def cache_folder(spark: SparkSession, corpus: str = "shared") -> str:
+    """The cache of a corpus, such as a table at some path; it never outgrows what was in there."""
+    return f"{staging_folder(spark)}/{CACHE}/{hashlib.sha256(corpus.encode()).hexdigest()[:16]}"
 
 
 def read_cache(spark: SparkSession, folder: str, version: str) -> DataFrame:
@@ -87,7 +89,7 @@ def count_tokens(df: DataFrame, id: str = "doc_id", text: str = "text",
     """(id, n_bytes, n_tokens) of every row of ``df``; new counts are appended to ``cache``.
 
     ``tokenizer`` is the path of a .json or .model file (default: byte_bpe_50k.json), ``cache`` a
-    folder that driver and executors share (default: one in the staging folder).
+    folder that driver and executors share (default: one for all corpora in the staging folder).
     """
     spark = df.sparkSession
     path = tokenizer or tokenizing.vocabulary(TOKENIZER)
