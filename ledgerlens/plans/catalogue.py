@@ -15,7 +15,7 @@ from ledgerlens.operators import (
 )
 from ledgerlens.plans.staging import new_folder, stage
 from ledgerlens.sources import driver_tables, readers, writers
-from ledgerlens.streaming import daily_activity
+from ledgerlens.streaming import daily_activity, live_alerts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -125,20 +125,25 @@ def _labelled_metrics(spark: SparkSession, folder: str) -> DataFrame:
     return features.labelled_metrics(flagged, truth)
 
 
-def _streaming_card_velocity(spark: SparkSession, folder: str) -> DataFrame:
-    """Events that arrive as several files, one a batch, in two runs; card days above a threshold.
+def _arriving(spark: SparkSession, folder: str, path: str):
+    """Events that arrive in two deliveries, a few files a batch; yields the stream of each.
 
-    The parts are dealt by id, so every batch holds rows of all days, long past ones included.
+    The events are dealt by hash, so every delivery holds rows of all days, long past ones included.
     """
     schema = driver_tables.SCHEMAS["events"]
     events = spark.read.schema(schema).parquet(f"{folder}/events.parquet")
-    path = new_folder(spark, "daily-activity")
     part = F.pmod(F.xxhash64(*events.columns), F.lit(4))
     for parts in ((0, 1, 2), (3,)):
         for p in parts:
-            events.where(part == p).coalesce(1).write.mode("append").parquet(f"{path}/arrived")
-        arriving = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
-                    .parquet(f"{path}/arrived"))
+            events.where(part == p).write.mode("append").parquet(f"{path}/arrived")
+        yield (spark.readStream.schema(schema).option("maxFilesPerTrigger", 2)
+               .parquet(f"{path}/arrived"))
+
+
+def _streaming_card_velocity(spark: SparkSession, folder: str) -> DataFrame:
+    """Card days above a threshold, summed batch by batch over two runs of a stream."""
+    path = new_folder(spark, "daily-activity")
+    for arriving in _arriving(spark, folder, path):
         daily_activity.start_daily_activity(driver_tables.map_events(arriving), path,
                                             f"{path}/progress").awaitTermination()
         daily_activity.compact(spark, path)
@@ -146,6 +151,17 @@ def _streaming_card_velocity(spark: SparkSession, folder: str) -> DataFrame:
         daily_activity.current_activity(spark, path), THRESHOLDS))
 
 
+def _live_card_alerts(spark: SparkSession, folder: str) -> DataFrame:
+    """What stands over a limit after two runs of the stateful stream. The deliveries mix the days
+    of a year, so days stay open that long."""
+    path = new_folder(spark, "live-alerts")
+    for arriving in _arriving(spark, folder, path):
+        live_alerts.start_live_alerts(
+            driver_tables.map_located_events(arriving, spark, folder), path, f"{path}/progress",
+            THRESHOLDS, keep_days=1000).awaitTermination()
+    return portable(live_alerts.standing_alerts(spark, path))
+
+
 def _saved(query: Query, name: str) -> Query:
     """The query's rows after a trip through its sink: written, overwritten once, read back."""
     def run(spark: SparkSession, folder: str) -> DataFrame:
@@ -295,4 +311,5 @@ def queries() -> dict[str, Query]:
         "transactions_per_key": _without_places(quality.transactions_per_key),
         "labelled_metrics": _labelled_metrics,
         "streaming_card_velocity": _streaming_card_velocity,
+        "live_card_alerts": _live_card_alerts,
     }

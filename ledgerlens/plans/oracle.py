@@ -536,6 +536,13 @@ SELECT card_id, {DAY}, n AS transactions, c / 100 AS total_amount,
        c > {THRESHOLDS.daily_amount * 100} AS over_daily_amount
 FROM card_days
 WHERE n > {THRESHOLDS.daily_count} OR c > {THRESHOLDS.daily_amount * 100}""", CARD_DAYS),
+        "live_card_alerts": _tx(f"""
+SELECT card_id, {DAY}, 'daily_count' AS criterion FROM card_days WHERE n > {THRESHOLDS.daily_count}
+UNION ALL
+SELECT card_id, {DAY}, 'daily_amount' FROM card_days WHERE c > {THRESHOLDS.daily_amount * 100}
+UNION ALL
+SELECT card_id, NULL, 'cities' FROM tx WHERE merchant_city NOT IN ('', 'ONLINE')
+GROUP BY card_id HAVING count(DISTINCT merchant_city) > {THRESHOLDS.cities}""", CARD_DAYS),
     }
     for name in REPORTS:  # the report of the highest rows, and the whole table
         out[f"{name}_top"] = out[name]

@@ -63,8 +63,11 @@ def transactions(spark: SparkSession, folder: str, places: bool = True) -> DataF
     """Events as transactions. Analyses that use no city or state can leave the places out, since
     Spark cannot know that joining them changes no row."""
     events = read(spark, folder, "events")
-    if not places:
-        return map_events(events)
+    return map_located_events(events, spark, folder) if places else map_events(events)
+
+
+def map_located_events(events: DataFrame, spark: SparkSession, folder: str) -> DataFrame:
+    """Events as transactions with places; also used on a stream of events."""
     countries = (read(spark, folder, "nation")
                  .join(read(spark, folder, "region").withColumnRenamed("r_regionkey", "n_regionkey"),
                        "n_regionkey", "left")

@@ -48,6 +48,11 @@ def _numbers(spark: SparkSession, folder: str, finished: bool = False) -> list[i
                   if not finished or files.exists(path_class(p, "_SUCCESS")))
 
 
+def finished_folders(spark: SparkSession, folder: str) -> list[str]:
+    """The folders ``batch=number`` of finished batches."""
+    return [f"{folder}/batch={b}" for b in _numbers(spark, folder, finished=True)]
+
+
 def _parts(spark: SparkSession, path: str) -> tuple[DataFrame, list[int], list[int]]:
     """All rows that count, the compacted tables and the batches that are not in the last one."""
     compacted = _numbers(spark, f"{path}/compacted", finished=True)
