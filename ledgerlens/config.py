@@ -39,14 +39,3 @@ class LevelCutoffs:
     high: float = 60.0
     medium: float = 40.0
     low: float = 20.0
-
-
-@dataclass(frozen=True)
-class SkewLimits:
-    """When an ordered per-key computation must be cut into slices.
-
-    A key with more than ``hot_rows`` rows is cut into slices of about that many rows. At most
-    ``rows / hot_rows`` keys can be hot, so the list of hot keys stays small at any data size.
-    """
-
-    hot_rows: int = 5_000_000

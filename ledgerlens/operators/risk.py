@@ -5,35 +5,31 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.config import LevelCutoffs, RiskWeights, SkewLimits
+from ledgerlens.config import LevelCutoffs, RiskWeights
 from ledgerlens.functions.flags import has_error, is_night, is_online
 from ledgerlens.functions.money import cents, dollars, rounded_cents, with_amount
 from ledgerlens.functions.ratios import mean_amount
 from ledgerlens.labels import ENGLISH, Labels
 from ledgerlens.operators.rollups import ValueSets
-from ledgerlens.operators.skew import hot_keys, rows_of_hot_keys, rows_of_other_keys
 from ledgerlens.plans.staging import stage
 
 PARTS = ("volume", "amount", "geography", "error", "night", "diversity")
 
 
-def client_indicators(transactions: DataFrame, limits: SkewLimits = SkewLimits()) -> DataFrame:
+def client_indicators(transactions: DataFrame) -> DataFrame:
     """Activity, amounts, distinct cards, cities, days and merchants, errors per client.
 
-    An ordinary client's distinct values are merged as sets, which crosses the shuffle once. Clients
-    with more than ``limits.hot_rows`` rows are counted by (client, value) groups instead, so that
-    their values are spread over many tasks.
+    One plan for all clients: rows are grouped by (client, value) first, which spreads a client of
+    very many rows over its values, and then by client. No value set is held in memory.
     """
     facts = with_amount(transactions).select(
         "client_id", "card_id", "merchant_city", F.to_date("date").alias("day"), "merchant_id",
         cents(F.col("amount_clean")).alias("c"), has_error().alias("failed"),
         is_night().alias("is_night"), is_online().alias("is_online"))
-    hot = hot_keys(facts, "client_id", limits.hot_rows)
-    if hot is None:
-        sums = _sums_with_sets(facts)
-    else:
-        sums = _sums_with_sets(rows_of_other_keys(facts, hot, "client_id")).unionByName(
-            _sums_with_groups(rows_of_hot_keys(facts, hot, "client_id")))
+    sets = ValueSets(facts, "client_id", list(DISTINCT.values()), *_measures())
+    sums = sets.groups.groupBy("client_id").agg(
+        *[combine(sets.measure(name)).alias(name) for name, combine in MEASURES.items()],
+        *[sets.distinct(v).alias(n) for n, v in DISTINCT.items()])
     return sums.select(
         "client_id", "transactions", dollars(F.col("c")).alias("total_amount"),
         mean_amount(F.col("c"), F.col("valid")).alias("mean_amount"),
@@ -56,18 +52,6 @@ def _measures() -> list[Column]:
             F.count_if("is_night").alias("night"), F.count_if("is_online").alias("online")]
 
 
-def _sums_with_sets(facts: DataFrame) -> DataFrame:
-    distinct = [F.size(F.collect_set(v)).cast("bigint").alias(n) for n, v in DISTINCT.items()]
-    return facts.groupBy("client_id").agg(*_measures(), *distinct)
-
-
-def _sums_with_groups(facts: DataFrame) -> DataFrame:
-    sets = ValueSets(facts, "client_id", list(DISTINCT.values()), *_measures())
-    return sets.groups.groupBy("client_id").agg(
-        *[combine(sets.measure(name)).alias(name) for name, combine in MEASURES.items()],
-        *[sets.distinct(v).alias(n) for n, v in DISTINCT.items()])
-
-
 def population_stats(indicators: DataFrame) -> DataFrame:
     """One row: means and sample deviations over the clients."""
     mean_c = rounded_cents(F.col("mean_amount"))
@@ -125,14 +109,13 @@ def score_clients(indicators: DataFrame, stats: DataFrame, weights: RiskWeights
 
 
 def client_risk(transactions: DataFrame, weights: RiskWeights = RiskWeights(),
-                cutoffs: LevelCutoffs = LevelCutoffs(), labels: Labels = ENGLISH,
-                limits: SkewLimits = SkewLimits()) -> DataFrame:
+                cutoffs: LevelCutoffs = LevelCutoffs(), labels: Labels = ENGLISH) -> DataFrame:
     """Scores straight from transactions.
 
     The indicators are needed twice, for the population means and for the score, and are far
     smaller than the facts; they are staged so that the facts are scanned once.
     """
-    indicators = stage(client_indicators(transactions, limits), "client_indicators")
+    indicators = stage(client_indicators(transactions), "client_indicators")
     return score_clients(indicators, population_stats(indicators), weights, cutoffs, labels)
 
 

@@ -1,11 +1,10 @@
-"""The slices for hot keys give what one window per key gives, and brute force agrees."""
+"""Keys with very many rows: sliced and grouped plans agree with brute force."""
 
 import random
 from datetime import timedelta
 
 import pytest
 
-from ledgerlens.config import SkewLimits
 from ledgerlens.operators import risk, sequences
 from rows import NOON, make
 
@@ -110,17 +109,34 @@ def test_first_keeps_rows_with_repeated_ids(spark):
     assert sum(r["is_first_at_merchant"] for r in got) == 1
 
 
-def test_client_indicators(uneven):
-    """Sets for ordinary clients and groups for hot ones agree, for all splits of the clients."""
-    plain = sorted(map(str, risk.client_indicators(uneven).collect()))
-    for hot_rows in (10, 120, 10_000):
-        cut = risk.client_indicators(uneven, SkewLimits(hot_rows=hot_rows))
-        assert sorted(map(str, cut.collect())) == plain
+def test_client_indicators(spark):
+    """One client has a third of the rows, and many values of everything."""
+    rng = random.Random(8)
+    rows = [{"client_id": 1 if i % 3 == 0 else None if i % 10 == 1 else rng.randrange(2, 9),
+             "card_id": rng.choice([None, i % 40]), "merchant_id": rng.randrange(200),
+             "merchant_city": rng.choice([None, "", "ONLINE", f"city {i % 90}"]),
+             "date": None if i % 13 == 0 else NOON + timedelta(hours=rng.randrange(4000)),
+             "amount": rng.choice(["?", f"${i}.25"]), "errors": rng.choice([None, "Bad PIN"])}
+            for i in range(900)]
+    df = make(spark, rows)
+    want = {}
+    for r in df.collect():
+        want.setdefault(r.client_id, []).append(r)
+    got = {r.client_id: r for r in risk.client_indicators(df).collect()}
+    assert set(got) == set(want)
+    for client, own in want.items():
+        r = got[client]
+        sizes = [len({x for x in values if x is not None}) for values in (
+            [o.card_id for o in own], [o.merchant_city for o in own],
+            [o.date and o.date.date() for o in own], [o.merchant_id for o in own])]
+        assert [r.cards, r.cities, r.active_days, r.merchants] == sizes
+        assert r.transactions == len(own) and r.errors == sum(o.errors is not None for o in own)
+        total = sum(float(o.amount[1:]) for o in own if o.amount != "?")
+        assert r.total_amount == pytest.approx(total)
 
 
 def test_client_indicators_with_a_missing_client(spark):
     df = make(spark, [{"client_id": None, "card_id": None, "amount": "?"}] * 5 + [{"client_id": 1}])
-    for limits in (SkewLimits(), SkewLimits(hot_rows=3)):
-        got = {r["client_id"]: r for r in risk.client_indicators(df, limits).collect()}
-        assert got[None]["transactions"] == 5 and got[None]["cards"] == 0
-        assert got[None]["total_amount"] is None and got[None]["active_days"] == 1
+    got = {r["client_id"]: r for r in risk.client_indicators(df).collect()}
+    assert got[None]["transactions"] == 5 and got[None]["cards"] == 0
+    assert got[None]["total_amount"] is None and got[None]["active_days"] == 1
