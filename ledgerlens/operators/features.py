@@ -232,3 +232,33 @@ def labelled_metrics(flags: DataFrame, labels: DataFrame, key: str = "id", flag:
         F.count("*").alias("labelled"), both.alias("true_positives"),
         F.try_divide(both, F.count_if(flag)).alias("precision"),
         F.try_divide(both, F.count_if(label)).alias("recall"))
+
+
+def label_coverage(transactions: DataFrame, labels: DataFrame, key: str = "id",
+                   label: str = "is_fraud") -> DataFrame:
+    """One row: how labels and transactions meet, counted by ids.
+
+    Ids with an unreadable label count as such only; an id with both labels is contradictory and
+    counts in no other figure of the labels. Rows without an id are left out.
+    """
+    said = (labels.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(label).alias("low"), F.max(label).alias("high"))
+            .withColumns({"unreadable": F.col("low").isNull(), "two": F.col("low") != F.col("high"),
+                          "labelled": F.lit(True)}))
+    ids = transactions.where(F.col(key).isNotNull()).select(key).distinct().withColumn(
+        "known", F.lit(True))
+    two, unreadable = F.coalesce("two", F.lit(False)), F.coalesce("unreadable", F.lit(False))
+    usable = F.col("labelled").isNotNull() & ~two & ~unreadable
+    return said.join(ids, key, "full").agg(
+        F.count_if(usable & F.col("known").isNotNull()).alias("labelled_transactions"),
+        F.count_if(usable & F.col("known").isNull()).alias("labels_without_transaction"),
+        F.count_if(F.col("known").isNotNull() & F.col("labelled").isNull()).alias(
+            "transactions_without_label"),
+        F.count_if(two).alias("contradictory_labels"),
+        F.count_if(unreadable).alias("unreadable_labels"))
+
+
+def usable_labels(labels: DataFrame, key: str = "id", label: str = "is_fraud") -> DataFrame:
+    """One row an id, of ids with readable labels that all agree."""
+    return (labels.where(F.col(key).isNotNull()).groupBy(key)
+            .agg(F.min(label).alias(label), F.max(label).alias("other"))
+            .where(F.col(label) == F.col("other")).drop("other"))

@@ -128,13 +128,43 @@ def _mcc_risk_level(spark: SparkSession, folder: str) -> DataFrame:
         "id", "merchant_category", "mcc_risk_level")
 
 
+def _labels(spark: SparkSession, folder: str) -> DataFrame:
+    """Labels after a trip through their file."""
+    path = new_folder(spark, "fraud-labels")
+    driver_tables.fraud_labels(spark, folder).write.text(path)
+    return readers.read_labels(spark, path)
+
+
 def _labelled_metrics(spark: SparkSession, folder: str) -> DataFrame:
-    """How well the high-amount flag finds failed transactions."""
-    t = driver_tables.transactions(spark, folder)
+    """How well the high-amount flag finds transactions that a label file calls fraud."""
+    t = driver_tables.transactions(spark, folder, places=False)
     flagged = features.amount_flags(t).select("id", F.col("is_high_amount").alias("flagged"))
-    truth = compare.behaviour_flags(t).select(
-        "id", (F.col("has_error") == 1).alias("is_fraud"))
-    return features.labelled_metrics(flagged, truth)
+    return features.labelled_metrics(flagged, features.usable_labels(_labels(spark, folder)))
+
+
+def _label_coverage(spark: SparkSession, folder: str) -> DataFrame:
+    return features.label_coverage(driver_tables.transactions(spark, folder, places=False),
+                                   _labels(spark, folder))
+
+
+def _published_outputs(spark: SparkSession, folder: str) -> DataFrame:
+    """The three saved tables published together twice, the second time whole; rows and a sum of
+    each as a reader of the newest version sees them."""
+    t = driver_tables.transactions(spark, folder)
+    scores = stage(risk.client_risk(t, cutoffs=CUTOFFS), "scores")
+    tables = {"risk_scores": risk.risk_scores_output(scores),
+              "suspicious_cards": suspicion.suspicious_cards_output(t, THRESHOLDS),
+              "risk_summary": risk.risk_summary_output(scores)}
+    path = new_folder(spark, "published")
+    writers.publish({name: df.limit(1) for name, df in tables.items()}, path)
+    writers.publish(tables, path)
+    writers.drop_versions(spark, path, keep=1)
+    summed = {"risk_scores": "transactions", "suspicious_cards": "transactions",
+              "risk_summary": "clients"}
+    rows = [writers.published(spark, path, name).agg(
+        F.lit(name).alias("table_name"), F.count("*").alias("table_rows"),
+        F.sum(column).alias("total")) for name, column in summed.items()]
+    return rows[0].union(rows[1]).union(rows[2])
 
 
 def _arriving(spark: SparkSession, folder: str, path: str):
@@ -319,6 +349,7 @@ def queries() -> dict[str, Query]:
         "suspicious_cards_output": _saved(
             _on_transactions(suspicion.suspicious_cards_output, **limits), "suspicious_cards"),
         "risk_summary_output": _saved(_on_scores(risk.risk_summary_output), "risk_summary"),
+        "published_outputs": _published_outputs,
         # normal against suspect clients
         "client_classes": _on_scores(compare.client_classes),
         "behaviour_flags": _columns(compare.behaviour_flags, "id", "has_error", "is_online",
@@ -371,6 +402,7 @@ def queries() -> dict[str, Query]:
         "hour_share": _without_places(temporal.hour_share),
         "transactions_per_key": _without_places(quality.transactions_per_key),
         "labelled_metrics": _labelled_metrics,
+        "label_coverage": _label_coverage,
         "streaming_card_velocity": _streaming_card_velocity,
         "live_card_alerts": _live_card_alerts,
         # figures from kept sketches

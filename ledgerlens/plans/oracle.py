@@ -92,6 +92,13 @@ def _tx(select: str, *more: str) -> str:
     return "WITH " + ",".join((TX,) + more) + "\n" + select
 
 
+LABELS = """
+labelled AS (
+  SELECT o_orderkey AS id, o_orderstatus = 'F' AS fraud FROM orders WHERE o_orderkey % 10 <> 3
+), usable AS (
+  SELECT * FROM labelled WHERE id % 43 <> 0 AND id % 41 <> 0
+)"""
+
 UNREADABLE = """
 unreadable AS (
   SELECT id, client_id, card_id,
@@ -543,11 +550,25 @@ FROM (SELECT *, count(*) FILTER (NOT failed) OVER (PARTITION BY card_id ORDER BY
         "velocity_1h": _velocity(3600),
         "velocity_24h": _velocity(86400),
         "labelled_metrics": _tx("""
-SELECT count(*) AS labelled, count(*) FILTER (amount_clean > 200 AND failed) AS true_positives,
-       count(*) FILTER (amount_clean > 200 AND failed) / count(*) FILTER (amount_clean > 200)
+SELECT count(*) AS labelled, count(*) FILTER (amount_clean > 200 AND fraud) AS true_positives,
+       count(*) FILTER (amount_clean > 200 AND fraud) / count(*) FILTER (amount_clean > 200)
          AS precision,
-       count(*) FILTER (amount_clean > 200 AND failed) / count(*) FILTER (failed) AS recall
-FROM tx"""),
+       count(*) FILTER (amount_clean > 200 AND fraud) / count(*) FILTER (fraud) AS recall
+FROM tx JOIN usable ON usable.id = tx.id""", LABELS),
+        "label_coverage": _tx("""
+SELECT (SELECT count(*) FROM usable WHERE id IN (SELECT id FROM tx)) AS labelled_transactions,
+       (SELECT count(*) FROM usable WHERE id NOT IN (SELECT id FROM tx))
+         AS labels_without_transaction,
+       (SELECT count(*) FROM tx WHERE id NOT IN (SELECT id FROM labelled))
+         AS transactions_without_label,
+       (SELECT count(*) FROM labelled WHERE id % 43 = 0) AS contradictory_labels,
+       (SELECT count(*) FROM labelled WHERE id % 43 <> 0 AND id % 41 = 0) AS unreadable_labels""",
+                              LABELS),
+        "published_outputs": _tx("""
+SELECT 'risk_scores' AS table_name, count(*) AS table_rows,
+       CAST(sum(transactions) AS BIGINT) AS total FROM scores UNION ALL
+SELECT 'suspicious_cards', count(*), CAST(sum(transactions) AS BIGINT) FROM details UNION ALL
+SELECT 'risk_summary', count(DISTINCT risk_level), count(*) FROM scores""", SCORES, DETAILS),
         "streaming_card_velocity": _tx(f"""
 SELECT card_id, {DAY}, n AS transactions, c / 100 AS total_amount,
        n > {THRESHOLDS.daily_count} AS over_daily_count,

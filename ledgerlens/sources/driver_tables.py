@@ -7,12 +7,15 @@ so opening a table runs no job.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SCHEMAS = {
     "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
               "props string",
     "nation": "n_nationkey int, n_name string, n_regionkey int",
     "region": "r_regionkey int, r_name string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
     "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
             "p_retailprice double",
     "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
@@ -106,3 +109,16 @@ def users(spark: SparkSession, folder: str) -> DataFrame:
         "yearly_income": MONEY_TEXT.format("abs(c_acctbal) * 6"),
         "total_debt": MONEY_TEXT.format("abs(c_acctbal) * 2"),
     })
+
+
+def fraud_labels(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines of a label file: one JSON object for each order, whose number is taken as the id of a
+    transaction. Some orders have no label, some one that can't be read, some both labels."""
+    label = F.expr("CASE WHEN o_orderkey % 41 = 0 THEN 'unknown' WHEN o_orderstatus = 'F' THEN 'Yes' "
+                   "ELSE 'No' END")
+    orders = read(spark, folder, "orders").where("o_orderkey % 10 <> 3")
+    both = F.when(F.col("o_orderkey") % 43 == 0, F.array(F.lit("Yes"), F.lit("No"))).otherwise(
+        F.array(label))
+    return (orders.select("o_orderkey", F.explode(both).alias("label"))
+            .select(F.to_json(F.create_map(F.col("o_orderkey").cast("string"), "label"))
+                    .alias("value")))

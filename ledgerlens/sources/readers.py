@@ -63,6 +63,23 @@ def codes_from_json(objects: DataFrame) -> DataFrame:
     return objects.select(F.explode(entries).alias("mcc", "merchant_category"))
 
 
+def read_labels(spark: SparkSession, path: str) -> DataFrame:
+    """(id, label, is_fraud) of label files: JSON objects that map transaction ids to yes or no.
+
+    A file may be one object, or have one a line, which lets Spark read it in parts. ``is_fraud`` is
+    null where the label is neither yes nor no; an id that is no number is null.
+    """
+    entries = F.from_json("value", "map<string,string>")
+    rows = spark.read.text(path).select(F.explode(entries).alias("id", "label"))
+    if rows.isEmpty():  # no line is an object by itself
+        rows = spark.read.text(path, wholetext=True).select(F.explode(entries).alias("id", "label"))
+    said = F.lower(F.trim("label"))
+    return rows.select(
+        F.col("id").try_cast("bigint").alias("id"), "label",
+        F.when(said.isin("yes", "true", "1"), True).when(said.isin("no", "false", "0"), False)
+        .alias("is_fraud"))
+
+
 def read_typed_transactions(spark: SparkSession, path: str) -> DataFrame:
     """Transactions written by ``writers.land_transactions``."""
     return spark.read.parquet(path)

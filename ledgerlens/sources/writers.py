@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.money import with_amount
@@ -15,6 +15,55 @@ def write_table(df: DataFrame, path: str, files: int | None = None) -> None:
     sized.write.mode("overwrite").parquet(path)
 
 
+def publish(tables: dict[str, DataFrame], path: str) -> int:
+    """Write tables together as a new version under ``path`` and return its number.
+
+    Readers see the version only when its pointer is set, after all tables are written; until then,
+    and if this stops half way, they read the version before. Setting the pointer creates one empty
+    file, which fails if another run took the same number.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    number = max([0, *_versions(spark, f"{path}/versions")]) + 1
+    for name, df in tables.items():
+        write_table(df, f"{path}/versions/{number}/{name}")
+    pointer = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/published/{number}")
+    files = pointer.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.createNewFile(pointer):
+        raise FileExistsError(f"version {number} was published by another run")
+    return number
+
+
+def published(spark: SparkSession, path: str, name: str, version: int | None = None) -> DataFrame:
+    """A table of the newest published version, or of a given one."""
+    numbers = _versions(spark, f"{path}/published")
+    if not numbers or version is not None and version not in numbers:
+        raise FileNotFoundError(f"no such version is published under {path}")
+    return spark.read.parquet(f"{path}/versions/{version or numbers[-1]}/{name}")
+
+
+def drop_versions(spark: SparkSession, path: str, keep: int = 2) -> None:
+    """Delete all but the newest ``keep`` published versions, and what older runs left half done.
+
+    The pointer goes first, so that no reader begins with a version whose files are going.
+    """
+    newest = _versions(spark, f"{path}/published")[-keep:]
+    path_class = spark._jvm.org.apache.hadoop.fs.Path
+    for number in _versions(spark, f"{path}/versions"):
+        if newest and number < newest[0]:
+            for old in (f"{path}/published/{number}", f"{path}/versions/{number}"):
+                p = path_class(old)
+                p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def _versions(spark: SparkSession, folder: str) -> list[int]:
+    root = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(root):
+        return []
+    names = [s.getPath().getName() for s in files.listStatus(root)]
+    return sorted(int(n) for n in names if n.isdigit())
+
+
 def land_transactions(transactions: DataFrame, path: str) -> None:
     """Keep typed transactions as Parquet, one folder per month of the transaction date.
 

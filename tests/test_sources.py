@@ -3,7 +3,9 @@
 import json
 from decimal import Decimal
 
-from ledgerlens.operators import compare, risk, suspicion
+import pytest
+
+from ledgerlens.operators import compare, features, risk, suspicion
 from ledgerlens.plans.catalogue import CUTOFFS, THRESHOLDS
 from ledgerlens.sources import driver_tables, readers, writers
 from rows import as_dicts, by, make
@@ -111,3 +113,47 @@ def test_describe_given_cards(spark):
     assert as_dicts(suspicion.describe_cards(df, cards)) == [
         {"card_id": 1, "client_id": 1, "transactions": 1, "total_amount": 1.5, "cities": 1}]
     assert Decimal("1.50") == df.selectExpr("cast(1.5 as decimal(12,2))").first()[0]
+
+
+def test_labels(spark, tmp_path):
+    lines = ['{"1": "Yes", "2": "no"}', '{"3": "TRUE", "x": "No", "4": "maybe", "5": null}',
+             '{"2": "Yes", "1": " yes "}', "", "no json"]
+    (tmp_path / "lines.json").write_text("\n".join(lines))
+    (tmp_path / "whole.json").write_text('{\n "1": "Yes",\n "2": "No"\n}')
+    got = {(r.id, r.is_fraud) for r in readers.read_labels(spark, str(tmp_path / "lines.json")).collect()}
+    assert got == {(1, True), (2, False), (2, True), (3, True), (None, False), (4, None), (5, None)}
+    whole = readers.read_labels(spark, str(tmp_path / "whole.json")).collect()
+    assert {(r.id, r.is_fraud) for r in whole} == {(1, True), (2, False)}
+    labels = readers.read_labels(spark, str(tmp_path / "lines.json")).where("id is not null")
+    t = make(spark, [{"id": 1}, {"id": 2}, {"id": 4}, {"id": 9}, {"id": 9}])
+    assert as_dicts(features.label_coverage(t, labels)) == [
+        {"labelled_transactions": 1, "labels_without_transaction": 1,
+         "transactions_without_label": 1, "contradictory_labels": 1, "unreadable_labels": 2}]
+    assert {(r.id, r.is_fraud) for r in features.usable_labels(labels).collect()} == {
+        (1, True), (3, True)}
+
+
+def test_tables_are_published_together(spark, tmp_path):
+    path = str(tmp_path / "out")
+
+    def tables(n):
+        return {"a": spark.range(n), "b": spark.range(n).selectExpr("id + 1 AS x")}
+
+    def sizes(version=None):
+        return [writers.published(spark, path, name, version).count() for name in ("a", "b")]
+
+    with pytest.raises(FileNotFoundError):
+        writers.published(spark, path, "a")
+    assert writers.publish(tables(3), path) == 1
+    broken = tables(5)
+    broken["b"] = spark.range(5).selectExpr("raise_error('stopped') AS x")
+    with pytest.raises(Exception, match="stopped"):
+        writers.publish(broken, path)
+    assert sizes() == [3, 3]  # the first table of version 2 is written, nobody reads it
+    assert writers.publish(tables(7), path) == 3
+    assert sizes() == [7, 7] and sizes(1) == [3, 3]
+    writers.drop_versions(spark, path, keep=1)
+    assert sizes() == [7, 7]
+    assert sorted(p.name for p in (tmp_path / "out" / "versions").iterdir()) == ["3"]
+    with pytest.raises(FileNotFoundError):
+        sizes(1)
