@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from ledgerlens.config import LevelCutoffs, Thresholds
 from ledgerlens.operators import (
-    amounts, compare, enrich, errors, features, indicators, quality, risk, sequences, sketches,
+    amounts, by_month, compare, enrich, errors, features, indicators, quality, risk, sequences, sketches,
     suspicion, temporal,
 )
 from ledgerlens.plans.staging import new_folder, stage
@@ -249,6 +249,32 @@ def _approximate_quantiles(spark: SparkSession, folder: str) -> DataFrame:
         "probability", (F.col("rank_error") < 0.01).alias("within_error"))
 
 
+def _month_by_month(build, *columns: str) -> Query:
+    """Facts landed in two deliveries, the second of which brings half of one month late; the
+    features are built after each, the second time from that month on."""
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        path = new_folder(spark, "by-month")
+        t = stage(driver_tables.transactions(spark, folder, places=False), "facts")
+        month = F.date_format("date", "yyyy-MM")
+        months = t.where("date is not null").agg(F.max(month).alias("last"))
+        last = months.first()["last"]
+        late = (month == F.lit(last)) & (F.col("id") % 2 == 0)
+        writers.land_transactions(t.where(~F.coalesce(late, F.lit(False))), f"{path}/landed")
+        build(spark, f"{path}/landed", f"{path}/kept")
+        writers.land_transactions(t, f"{path}/landed")
+        build(spark, f"{path}/landed", f"{path}/kept", changed=last)
+        return by_month.features_of(spark, f"{path}/kept").select(*columns)
+    return run
+
+
+def _first_uses(other: str, name: str) -> Query:
+    def build(spark: SparkSession, landed: str, path: str, changed: str | None = None):
+        return by_month.build_first_uses(spark, landed, other, path, changed)
+
+    query = _month_by_month(build, "id", "client_id", other, "is_first")
+    return lambda spark, folder: query(spark, folder).withColumnRenamed("is_first", name)
+
+
 def _saved(query: Query, name: str) -> Query:
     """The query's rows after a trip through its sink: written, overwritten once, read back."""
     def run(spark: SparkSession, folder: str) -> DataFrame:
@@ -397,6 +423,10 @@ def queries() -> dict[str, Query]:
         "first_at_merchant": _without_places(sequences.first_at_merchant),
         "first_in_mcc": _without_places(sequences.first_in_mcc),
         "consecutive_errors": _without_places(sequences.consecutive_errors),
+        "card_sequences_by_month": _month_by_month(
+            by_month.build_card_sequences, "id", "card_id", "seconds", "error_run"),
+        "first_at_merchant_by_month": _first_uses("merchant_id", "is_first_at_merchant"),
+        "first_in_mcc_by_month": _first_uses("mcc", "is_first_in_mcc"),
         "velocity_1h": _without_places(sequences.velocity, seconds=3600),
         "velocity_24h": _without_places(sequences.velocity, seconds=86400),
         "hour_share": _without_places(temporal.hour_share),

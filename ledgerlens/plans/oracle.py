@@ -547,6 +547,15 @@ SELECT id, card_id, CASE WHEN failed THEN
          AS error_run
 FROM (SELECT *, count(*) FILTER (NOT failed) OVER (PARTITION BY card_id ORDER BY date, id) AS island
       FROM tx)"""),
+        "card_sequences_by_month": _tx(f"""
+SELECT id, card_id, {SECOND} - lag({SECOND}) OVER (PARTITION BY card_id ORDER BY date, id) AS seconds,
+       CASE WHEN failed THEN
+         row_number() OVER (PARTITION BY card_id, island, failed ORDER BY date, id) ELSE 0 END
+         AS error_run
+FROM (SELECT *, count(*) FILTER (NOT failed) OVER (PARTITION BY card_id ORDER BY date, id) AS island
+      FROM tx)"""),
+        "first_at_merchant_by_month": _first("merchant_id", "is_first_at_merchant"),
+        "first_in_mcc_by_month": _first("mcc", "is_first_in_mcc"),
         "velocity_1h": _velocity(3600),
         "velocity_24h": _velocity(86400),
         "labelled_metrics": _tx("""
