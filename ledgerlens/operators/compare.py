@@ -14,6 +14,7 @@ from ledgerlens.functions.flags import banded, has_error, is_night, is_online, i
 from ledgerlens.functions.money import cents, dollars, with_amount
 from ledgerlens.functions.ratios import mean_amount, percent, ratio
 from ledgerlens.labels import ENGLISH, Labels
+from ledgerlens.sources.buckets import SALT
 
 GROUP_LIMITS = (10, 50, 200, 500)
 
@@ -45,6 +46,14 @@ def classified_transactions(transactions: DataFrame, classes: DataFrame) -> Data
     return _classify(behaviour_flags(transactions), classes)
 
 
+def classified_by_client(transactions: DataFrame, classes: DataFrame) -> DataFrame:
+    """The same of tables that are laid out by client (``sources.buckets``): classes of any number
+    of clients join without moving the facts, and a client of very many facts goes to many tasks."""
+    of_salt = classes.select("client_id", SALT, "is_suspect")
+    return (behaviour_flags(transactions).join(of_salt, ["client_id", SALT], "left")
+            .fillna(False, ["is_suspect"]).drop(SALT))
+
+
 def _group(labels: Labels) -> Column:
     normal, suspect = labels.groups
     return F.when(F.col("is_suspect"), suspect).otherwise(normal).alias("group")

@@ -14,7 +14,7 @@ from ledgerlens.operators import (
     suspicion, temporal,
 )
 from ledgerlens.plans.staging import new_folder, stage
-from ledgerlens.sources import driver_tables, readers, writers
+from ledgerlens.sources import buckets, driver_tables, readers, writers
 from ledgerlens.streaming import daily_activity, live_alerts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,6 +85,17 @@ def _on_classes(function, places: bool = False) -> Query:
     return run
 
 
+def _classified_by_client(spark: SparkSession, folder: str) -> DataFrame:
+    """Facts and classes laid out by client, joined bucket with bucket as large classes would be."""
+    path = new_folder(spark, "by-client")
+    buckets.land_by_client(driver_tables.transactions(spark, folder), f"{path}/facts", 8)
+    buckets.keep_by_client(_classes(spark, folder), f"{path}/classes", 8)
+    facts, classes = (buckets.read_by_client(spark, f"{path}/{t}") for t in ("facts", "classes"))
+    return portable(compare.classified_by_client(facts, classes.hint("merge")).select(
+        "id", "client_id", "amount_clean", "has_error", "is_online", "is_night", "is_weekend",
+        "is_suspect"))
+
+
 def _temporal_columns(spark: SparkSession, folder: str) -> DataFrame:
     return portable(temporal.temporal_columns(driver_tables.transactions(spark, folder))
                     .select("id", "date", "hour", "weekday", "weekday_name", "month"))
@@ -384,6 +395,7 @@ def queries() -> dict[str, Query]:
             lambda t, c: compare.classified_transactions(t, stage(c, "client_classes")).select(
                 "id", "client_id", "amount_clean", "has_error", "is_online", "is_night",
                 "is_weekend", "is_suspect"), places=True),
+        "classified_transactions_by_client": _classified_by_client,
         "group_general_stats": _on_classes(compare.group_general_stats),
         "group_purchase_behaviour": _on_classes(compare.group_purchase_behaviour, places=True),
         "group_temporal_behaviour": _on_classes(compare.group_temporal_behaviour),

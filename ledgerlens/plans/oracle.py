@@ -607,6 +607,7 @@ UNION ALL
 SELECT card_id, NULL, 'cities' FROM tx WHERE merchant_city NOT IN ('', 'ONLINE')
 GROUP BY card_id HAVING count(DISTINCT merchant_city) > {THRESHOLDS.cities}""", CARD_DAYS),
     }
+    out["classified_transactions_by_client"] = out["classified_transactions"]
     for name in REPORTS:  # the report of the highest rows, and the whole table
         out[f"{name}_top"] = out[name]
         out[name] = out[name].rpartition(" LIMIT ")[0]

@@ -7,7 +7,7 @@ import pytest
 from ledgerlens.config import Thresholds
 from ledgerlens.operators import compare, enrich, indicators, quality, risk, suspicion
 from ledgerlens.plans.staging import stage, staging_folder
-from ledgerlens.sources import driver_tables, writers
+from ledgerlens.sources import buckets, driver_tables, writers
 
 
 @pytest.fixture(scope="module")
@@ -110,3 +110,32 @@ def test_no_python_in_any_plan(spark, sf):
     for name in ("suspect_details", "client_risk_score", "group_top_mcc", "velocity_24h",
                  "consecutive_errors"):
         assert "Python" not in plan(queries()[name](spark, sf)), name
+
+
+@pytest.mark.parametrize("again", [False, True])
+def test_large_classes_join_without_moving_the_facts(spark, facts, tmp_path, again):
+    classes = facts.selectExpr("client_id", "client_id % 3 = 0 AS is_suspect").distinct()
+    for df, name, land in ((facts, "facts", buckets.land_by_client),
+                           (classes, "classes", buckets.keep_by_client)):
+        land(df, str(tmp_path / name), 4, 5)
+    if again:  # another session knows the folders only
+        for name in ("facts", "classes"):
+            spark.sql(f"DROP TABLE {buckets._table(str(tmp_path / name))}")
+    landed, kept = (buckets.read_by_client(spark, str(tmp_path / n)) for n in ("facts", "classes"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = compare.classified_by_client(landed, kept)
+        assert count(joined, "SortMergeJoin") == 1 and count(joined, "Exchange") == 0
+        want = compare.classified_transactions(facts, classes).select(joined.columns)
+        assert joined.exceptAll(want).count() == 0 and want.exceptAll(joined).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_busy_client_lies_in_many_buckets(spark, tmp_path):
+    facts = spark.range(3000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 1 ELSE id END AS client_id")
+    buckets.land_by_client(facts, str(tmp_path / "t"), 32, 16)
+    rows = buckets.read_by_client(spark, str(tmp_path / "t"))
+    assert rows.count() == 3000
+    parts = rows.where("client_id = 1").selectExpr("input_file_name() AS f").groupBy("f").count()
+    assert parts.count() >= 8 and parts.agg({"count": "max"}).first()[0] < 400
