@@ -27,6 +27,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh64_intdigest
 
 #: Contexts of one anchor in a batch from which on they are dealt by context, not by anchor.
 HOT = 16
@@ -242,6 +243,10 @@ def word_ranges(values: np.ndarray, offsets: np.ndarray):
     return start, end, np.searchsorted(start, offsets[:-1]), np.searchsorted(start, offsets[1:])
 
 
+#: Bytes of a word from which on it is hashed by itself.
+LONG_WORD = 256
+
+
 def word_symbols(values: np.ndarray, offsets: np.ndarray):
     start, end, first, last = word_ranges(values, offsets)
     symbols = np.empty(len(start), np.uint64)
@@ -253,6 +258,9 @@ def word_symbols(values: np.ndarray, offsets: np.ndarray):
         hashes = RangeHashes(BYTE_VALUES[values[low:end[upto - 1]]])
         symbols[at:upto] = hashes(start[at:upto] - low, end[at:upto] - low)
         at = upto
+    # sums of powers modulo 2^64 can't tell some texts of a thousand letters and more apart
+    for i in np.flatnonzero(end - start > LONG_WORD):
+        symbols[i] = xxh64_intdigest(values[start[i]:end[i]].tobytes())
     return symbols, first, last
 
 

@@ -190,3 +190,15 @@ def test_links_over_many_splits(spark, monkeypatch):
     got = {r.id: r.n_links for r in embedding_dedup.near_duplicate_vectors(df, leaf=60).collect()}
     unit = x / np.linalg.norm(x, axis=1, keepdims=True)
     assert [got[i] for i in range(2400)] == ((unit @ unit.T >= 0.95).sum(axis=1) - 1).tolist()
+
+
+def test_long_words_that_sums_of_powers_take_for_equal(spark):
+    bits = "0"
+    while len(bits) < 4096:
+        bits += "".join("10"[int(b)] for b in bits)
+    one, other = bits.translate({48: "a", 49: "b"}), bits.translate({48: "b", 49: "a"})
+    words = [f"w{i}" for i in range(34)]
+    df = spark.createDataFrame([(1, " ".join([*words, one])), (2, " ".join([*words, other])),
+                                (3, " ".join([*words, one]))], "doc_id long, text string")
+    got = {r.id: r.n_removed for r in substring_dedup.remove_repeats(df).collect()}
+    assert got == {1: 35, 2: 0, 3: 35}
