@@ -159,3 +159,39 @@ def test_classifier_edges(spark):
     got = quality_classifier.score_quality(df, labels).collect()
     assert len(got) == len(EDGES) and all(0 <= r.score <= 1 for r in got)
     assert quality_classifier.score_quality(df.limit(0), labels).count() == 0
+
+
+WORDS = "Words of an article that goes on for a while here. " * 4
+
+
+@pytest.mark.parametrize("html, text", [
+    (f'<div class="content with-sidebar"><article><p>{WORDS}</p></article></div>', WORDS),
+    (f'<article><div class="post-header"><h1>Title</h1></div><p>{WORDS}</p></article>',
+     "Title " + WORDS),
+    (f'<article><p>{WORDS}</p><section id="share-prices"><p>{WORDS}</p></section>'
+     '<div class="share"><a>one</a> <a>two</a></div></article>', WORDS + WORDS),
+    (f'<article><p>{WORDS}</p><div class="comments"><p>{WORDS}</p></div></article>', WORDS),
+    ("<div>" + "".join(f"<div><a href=x>Link {i}</a></div>" for i in range(50)) + "</div>"
+     f"<div><h1>Head</h1><p>{WORDS}</p><p>Short end.</p></div><div>© 2020 Name</div>",
+     "Head " + WORDS + "Short end."),
+    (f"<div><h1>Head</h1><pre>{WORDS}</pre><p><a>All link</a></p><p>Short.</p></div>",
+     "Head " + WORDS + "All link Short.")])
+def test_names_and_menus_do_not_cost_an_article_its_text(html, text):
+    assert html_extraction.main_text(html) == text.strip()
+
+
+def test_the_clustering_decides(monkeypatch):
+    html = f'<article><p>{WORDS}</p><div class="share"><a>one</a> <a>two</a></div></article>'
+    assert html_extraction.main_text(html) == WORDS.strip()
+    monkeypatch.setattr(html_extraction, "content_lines",
+                        lambda ratios, **_: [True] * len(ratios))
+    assert html_extraction.main_text(html) == WORDS + "one two"
+
+
+@pytest.mark.parametrize("piece", ["<div>word ", '<div class="share">word </p>', "</b><i>word "])
+def test_deep_pages_take_time_in_proportion(piece):
+    import time
+
+    started = time.perf_counter()
+    assert html_extraction.main_text(piece * 20_000).count("word") == 20_000
+    assert time.perf_counter() - started < 10
