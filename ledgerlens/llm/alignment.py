@@ -132,16 +132,30 @@ class Tokens:
         return raw == b"".join(map(self.of_a.__getitem__, ids_a)) == b"".join(
             map(self.of_b.__getitem__, ids_b))
 
+    def _cut(self, ids: np.ndarray, long: np.ndarray, ends: np.ndarray) -> list[bytes] | None:
+        """The ids of the stretches that end at the bytes ``ends``, if tokens end there too."""
+        token_ends = np.cumsum(long[ids])
+        upto = np.searchsorted(token_ends, ends) + 1
+        if upto[-1] != len(ids) or (token_ends[upto - 1] != ends).any():
+            return None
+        raw, upto = ids.tobytes(), (4 * upto).tolist()
+        return [raw[i:j] for i, j in zip(upto, upto[1:])]
+
     def _learn(self, new: list[str]) -> dict[str, tuple[bytes, bytes] | None]:
-        """Ids of stretches; None where bytes differ."""
-        found = {}
-        raw = [s if s[0] == "\n" else " " + s for s in new]
-        for s, r, a, b in zip(new, raw, self.encode_a(raw), self.encode_b(new)):
-            if s[0] == "\n":  # behind the space that this tokenizer puts before any text
-                b = b[1:] if self.of_b[b[0]] == b" " else []
-            found[s] = (array("I", a).tobytes(), array("I", b).tobytes()) if (
-                self._same(a, b, r.encode())) else None
-        return found
+        """Ids of stretches, encoded as one text that is cut again; None where bytes differ."""
+        raw = [" ."] + [s if s[0] == "\n" else " " + s for s in new]
+        text = "".join(raw)
+        a, b = self.encode_a([text])[0], self.encode_b([text[1:]])[0]
+        if self._same(a, b, text.encode()):
+            ends = np.cumsum([len(r.encode()) for r in raw])
+            cells = [self._cut(np.array(ids, np.uint32), long, ends)
+                     for ids, long in ((a, self.long_a), (b, self.long_b))]
+            if None not in cells:
+                return dict(zip(new, zip(*cells)))
+        if len(new) > 1:  # one of them gives other bytes
+            half = len(new) // 2
+            return self._learn(new[:half]) | self._learn(new[half:])
+        return dict.fromkeys(new)
 
     @staticmethod
     def _alone(stretch: str) -> bool:
@@ -153,18 +167,21 @@ class Tokens:
         """Ids of each text, none where it is empty or its tokens give other bytes."""
         parts = [t.replace("\n", " \n").split(" ") if self.apart else [] for t in texts]
         cells = [list(map(self.known.get, p)) for p in parts]
-        new = {s for p, c in zip(parts, cells) if None in c for s, x in zip(p, c) if x is None}
+        holes = [[i for i, x in enumerate(c) if x is None] for c in cells]
+        new = {p[i] for p, h in zip(parts, holes) for i in h}
         here = {s: self.older[s] for s in new if s in self.older}
-        here.update(self._learn([s for s in new if s not in here and self._alone(s)]))
+        for some in tokenizing.by_size([s for s in new if s not in here and self._alone(s)], 100_000):
+            here.update(self._learn(some))
         if len(self.known) > REMEMBERED:
             self.known, self.older = {}, self.known
         self.known.update((s, x) for s, x in here.items() if x and len(s) <= MEMORABLE)
         out = []
-        for t, p, found in zip(texts, parts, cells):
-            if None in found:
-                found = [x or here.get(s) for s, x in zip(p, found)]
-            if t and found and None not in found:
-                out.append((b"".join([x[0] for x in found]), b"".join([x[1] for x in found])))
+        for t, p, found, hole in zip(texts, parts, cells, holes):
+            for i in hole:
+                found[i] = here.get(p[i])
+            if t and found and (not hole or None not in found):
+                a, b = zip(*found)
+                out.append((b"".join(a), b"".join(b)))
                 continue
             a, b = self.encode_a([" " + t])[0], self.encode_b([t])[0]
             out.append((array("I", a).tobytes(), array("I", b).tobytes()) if (
