@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.text import NOT_SPACE, whole, words
+from ledgerlens.llm.text import NOT_SPACE, unused, whole, words
 
 WINDOW = 5
 #: Bounds of the sample on which rules are timed: rows, characters of a row, times it is repeated.
@@ -60,7 +60,8 @@ def quality_measures(df: DataFrame, text: str = "text", into: str = "measures")
     Each step is a column of its own that the next one uses more than once; the optimizer then
     keeps it and does not evaluate it again for every element.
     """
-    name = {c: f"__{into}_{c}" for c in ("text", "words", "hashes", "sorted", "places")}
+    own = unused(df, f"__{into}_")
+    name = {c: own + c for c in ("text", "words", "hashes", "sorted", "places", "lines")}
     col = {k: F.col(v) for k, v in name.items()}
     out = df.withColumn(name["text"], whole(text)).withColumn(name["words"], words(name["text"]))
 
@@ -83,8 +84,8 @@ def quality_measures(df: DataFrame, text: str = "text", into: str = "measures")
                                             F.coalesce(F.get(p, i + 1) - x, F.lit(WINDOW)))),
         F.lit(0).cast("long"), lambda a, x: a + x)
     lines = F.filter(F.split(col["text"], "\n"), lambda x: x.rlike(NOT_SPACE))
-    out = out.withColumn(f"__{into}_lines", lines)
-    n_lines = F.col(f"__{into}_lines")
+    out = out.withColumn(name["lines"], lines)
+    n_lines = col["lines"]
     measures = F.struct(
         F.size(w).cast("long").alias("n_words"),
         F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
@@ -92,7 +93,7 @@ def quality_measures(df: DataFrame, text: str = "text", into: str = "measures")
         (F.size(n_lines) - F.size(F.array_distinct(n_lines))).cast("long").alias("n_dup_lines"),
         F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"),
     )
-    return out.withColumn(into, measures).drop(*name.values(), f"__{into}_lines")
+    return out.withColumn(into, measures).drop(*name.values())
 
 
 @dataclass(frozen=True)
@@ -157,8 +158,10 @@ def keep_good(df: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text")
     ordered = by_worth(estimate(df, rules, text))
     # the row number keeps the optimizer from pushing the filter below the measures, which would
     # spell them out, and evaluate them, once for every use
-    judged = quality_measures(df, text, "__measures").withColumn(
-        "__row", F.monotonically_increasing_id())
-    m = F.col("__measures")
+    own = unused(df, "__judged")
+    measures, row = f"{own}_measures", f"{own}_row"
+    judged = quality_measures(df, text, measures).withColumn(
+        row, F.monotonically_increasing_id())
+    m = F.col(measures)
     rejected = base_failed(m) | first_rejection(ordered, whole(text), m).isNotNull()
-    return judged.where((F.col("__row") >= 0) & ~rejected).drop("__measures", "__row")
+    return judged.where((F.col(row) >= 0) & ~rejected).drop(measures, row)

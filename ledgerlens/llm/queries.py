@@ -46,7 +46,9 @@ def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 def op5_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select("doc_id", "text")
-    found = secret_scans.findings_of_paths(documents, secret_scans.scan_unseen(documents))
+    ledger = secret_scans.ledger_folder(spark, f"{folder}/documents")
+    found = secret_scans.findings_of_paths(
+        documents, secret_scans.scan_with_ledger(documents, ledger))
     base = [r.name for r in secret_scans.BASE_RULES]
 
     def of(*kinds: str):

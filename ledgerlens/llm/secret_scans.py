@@ -4,20 +4,24 @@ A blob is a distinct text, addressed by the SHA-256 of its UTF-8 bytes; many pat
 versions of a file) can hold the same one. Only pairs of blob and rule version that the ledger does
 not list are scanned; findings are kept per blob and joined back to every path.
 
-Spans are counted in code points, the end exclusive, leftmost and non-overlapping per rule.
+Spans are counted in code points, the end exclusive, leftmost and non-overlapping per rule. A text
+with n matches is walked in about sqrt(n) blocks of as many matches, so that no list or text is
+copied once for every match.
 Defined results: a missing text is the empty blob; a missing path is kept as a null path; repeated
 rows give repeated results; an empty table gives an empty result. Built-in expressions only.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.text import whole
+from ledgerlens.llm.text import unused, whole
+from ledgerlens.plans.staging import staging_folder
 
 
 @dataclass(frozen=True)
@@ -54,9 +58,28 @@ MORE_RULES = (
                hints=("ghp_", "gho_", "ghs_", "xoxb-", "xoxp-", "sk_live_")),
 )
 RULES = BASE_RULES + MORE_RULES
+LEDGER = "secret-ledger"
 SPAN = "array<struct<start:int,end:int,kind:string>>"
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is evaluated once, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _blocks(items: Column) -> Column:
+    """The array in about as many slices as a slice has elements; an empty one is one slice."""
+    n = F.greatest(F.size(items), F.lit(1))
+    width = F.ceil(F.sqrt(n)).cast("int")
+    return F.transform(F.sequence(F.lit(1), n, width), lambda i: F.slice(items, i, width))
+
+
+def _carried(blocks: Column, after: Callable[[Column, Column], Column]) -> Column:
+    """What reaches each block from the ones before it, 0 the first, and what leaves the last."""
+    return F.aggregate(blocks, F.array(F.lit(0)), lambda at, block: F.concat(
+        at, F.array(after(F.element_at(at, -1), block))))
+
+
 def _spans(text: Column, rule: SecretRule) -> Column:
     """Spans of one rule: the lengths of the matches and of the pieces between them, summed up."""
     p = F.lit(rule.pattern)
@@ -67,19 +90,30 @@ def _spans(text: Column, rule: SecretRule) -> Column:
         found.alias("m"), judged.alias("g")), lambda gap, x: F.struct(
             F.length(gap).alias("gap"), F.length(x.m).alias("size"),
             (F.length(x.g) >= rule.least).alias("ok")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("spans"))
-    walked = F.aggregate(steps, start, lambda a, x: F.struct(
-        (a.at + x.gap + x["size"]).alias("at"),
-        F.when(x.ok, F.concat(a.spans, F.array(F.struct(
-            (a.at + x.gap).alias("start"), (a.at + x.gap + x["size"]).alias("end"),
-            F.lit(rule.name).alias("kind"))))).otherwise(a.spans).cast(SPAN).alias("spans")))
+
+
+    def of_block(block: Column, at: Column) -> Column:
+        start = F.struct(at.alias("at"), F.array().cast(SPAN).alias("spans"))
+        return F.aggregate(block, start, lambda a, x: F.struct(
+            (a.at + x.gap + x["size"]).alias("at"),
+            F.when(x.ok, F.concat(a.spans, F.array(F.struct(
+                (a.at + x.gap).alias("start"), (a.at + x.gap + x["size"]).alias("end"),
+                F.lit(rule.name).alias("kind"))))).otherwise(a.spans).cast(SPAN).alias("spans"))
+        ).spans
+
+    def past(at: Column, block: Column) -> Column:
+        return F.aggregate(block, at, lambda a, x: a + x.gap + x["size"])
+
+    spans = _let(steps, lambda s: _let(_blocks(s), lambda blocks: _let(
+        _carried(blocks, past), lambda starts: F.flatten(F.transform(
+            blocks, lambda block, k: of_block(block, F.get(starts, k)))))))
     hinted = text.rlike(rule.pattern)
     if rule.hints:
         holds = F.lit(False)
         for hint in rule.hints:
             holds = holds | text.contains(hint)
         hinted = holds & hinted
-    return F.when(hinted, walked.spans).otherwise(F.array().cast(SPAN))
+    return F.when(hinted, spans).otherwise(F.array().cast(SPAN))
 
 
 def blob_key(text: str) -> Column:
@@ -113,6 +147,35 @@ def scan_unseen(versions: DataFrame, rules: Sequence[SecretRule] = RULES,
             .select("blob", "pair.rule", "pair.spans"))
 
 
+def ledger_folder(spark: SparkSession, corpus: str = "shared") -> str:
+    """The ledger of a corpus, such as a table at some path."""
+    return f"{staging_folder(spark)}/{LEDGER}/{hashlib.sha256(corpus.encode()).hexdigest()[:16]}"
+
+
+def read_ledger(spark: SparkSession, folder: str) -> DataFrame | None:
+    """(blob, rule, spans) of all pairs scanned so far; None before the first scan."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        return None
+    return spark.read.schema(f"blob string, rule string, spans {SPAN}").parquet(folder)
+
+
+def scan_with_ledger(versions: DataFrame, folder: str, rules: Sequence[SecretRule] = RULES,
+                     text: str = "text") -> DataFrame:
+    """(blob, rule, spans) of the rules' pairs in the ledger, after ``versions`` has been added.
+
+    Blobs that no row of ``versions`` holds any more stay listed: an old version that comes back is
+    not scanned again. A run that dies in its append leaves the ledger without its pairs; a pair
+    that two runs append at once counts once.
+    """
+    spark = versions.sparkSession
+    scan_unseen(versions, rules, read_ledger(spark, folder), text).write.mode("append").parquet(
+        folder)
+    return (read_ledger(spark, folder).where(F.col("rule").isin([r.key for r in rules]))
+            .where(F.size("spans") > 0).dropDuplicates(["blob", "rule"]))
+
+
 def findings_of_paths(versions: DataFrame, findings: DataFrame, path: str = "doc_id",
                       text: str = "text", order: Sequence[str] = ()) -> DataFrame:
     """(path, blob, spans): all spans of a path's blob by start, then by kind as in ``order``.
@@ -132,14 +195,28 @@ def findings_of_paths(versions: DataFrame, findings: DataFrame, path: str = "doc
 
 
 def redacted(text: Column, spans: Column, mark: str = "[secret]") -> Column:
-    """The text with every run of overlapping spans replaced by ``mark``."""
-    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
-    walked = F.aggregate(spans, start, lambda a, s: F.struct(
-        F.when(s.start < a.at, a.out).otherwise(F.concat(
-            a.out, F.substring(text, a.at + 1, s.start - a.at), F.lit(mark))).alias("out"),
-        F.greatest(a.at, s.end).alias("at")))
-    tail = F.substring(text, walked.at + 1, F.length(text))
-    return F.when(F.size(spans) == 0, text).otherwise(F.concat(walked.out, tail))
+    """The text with every run of overlapping spans, in order of start, replaced by ``mark``."""
+
+    def of_block(block: Column, at: Column, piece: Column) -> Column:
+        """A block's part of the text, from code point ``at`` on; ``piece`` starts there."""
+        start = F.struct(F.lit("").alias("out"), at.alias("at"))
+        return F.aggregate(block, start, lambda a, s: F.struct(
+            F.when(s.start < a.at, a.out).otherwise(F.concat(
+                a.out, F.substring(piece, a.at - at + 1, s.start - a.at), F.lit(mark))
+            ).alias("out"), F.greatest(a.at, s.end).alias("at"))).out
+
+    def past(at: Column, block: Column) -> Column:
+        return F.aggregate(block, at, lambda a, s: F.greatest(a, s.end))
+
+    def joined(blocks: Column, ats: Column) -> Column:
+        parts = F.transform(blocks, lambda block, k: _let(F.get(ats, k), lambda at: _let(
+            F.substring(text, at + 1, F.element_at(block, -1).start - at),
+            lambda piece: of_block(block, at, piece))))
+        return F.concat(F.array_join(parts, ""),
+                        F.substring(text, F.element_at(ats, -1) + 1, F.length(text)))
+
+    return F.when(F.size(spans) == 0, text).otherwise(_let(_blocks(spans), lambda blocks: _let(
+        _carried(blocks, past), lambda ats: joined(blocks, ats))))
 
 
 def redact(df: DataFrame, rules: Sequence[SecretRule] = RULES, text: str = "text",
@@ -148,16 +225,17 @@ def redact(df: DataFrame, rules: Sequence[SecretRule] = RULES, text: str = "text
 
     Columns and rows stay as they are otherwise; a missing text stays missing.
     """
+    own = unused(df, "__redact")
     found = scan_unseen(df, rules, None, text).where(F.size("spans") > 0)
     spans = (found.select("blob", F.explode("spans").alias("s")).groupBy("blob")
              .agg(F.sort_array(F.collect_list("s")).alias("spans"))
-             .select(F.col("blob").alias("__blob"), F.col("spans").alias("__spans")))
-    out = df.withColumn("__blob", blob_key(text)).join(spans, "__blob", "left")
-    clean = F.when(F.col("__spans").isNull(), F.col(text)).otherwise(
-        redacted(F.col(text), F.col("__spans"), mark))
+             .select(F.col("blob").alias(f"{own}_blob"), F.col("spans").alias(f"{own}_spans")))
+    out = df.withColumn(f"{own}_blob", blob_key(text)).join(spans, f"{own}_blob", "left")
+    held = F.col(f"{own}_spans")
+    clean = F.when(held.isNull(), F.col(text)).otherwise(redacted(F.col(text), held, mark))
     out = out.withColumn(text, clean)
     if size in df.columns:
         kind = dict(df.dtypes)[size]
-        out = out.withColumn(size, F.when(F.col("__spans").isNull(), F.col(size)).otherwise(
+        out = out.withColumn(size, F.when(held.isNull(), F.col(size)).otherwise(
             F.length(text).cast(kind)))
     return out.select(*[F.col(f"`{c}`") for c in df.columns])

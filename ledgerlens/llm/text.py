@@ -22,5 +22,12 @@ def words(text: str) -> Column:
     return F.array_remove(F.split(whole(text), SPACES, -1), "")
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one: no column of ``df`` starts with it, in either case."""
+    while any(c.lower().startswith(name.lower()) for c in df.columns):
+        name = "_" + name
+    return name
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")

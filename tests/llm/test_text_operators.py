@@ -84,6 +84,76 @@ def test_redaction(spark):
     assert got == {1: ("a [secret] b", 12), 2: ("clean", 5), 3: (None, None)}
 
 
+def plain_redaction(text, spans):
+    """The text with every run of overlapping spans replaced."""
+    out, at = [], 0
+    for start, end in sorted(spans):
+        if start >= at:
+            out += [text[at:start], "[secret]"]
+        at = max(at, end)
+    return "".join(out) + text[at:]
+
+
+def test_redaction_of_many_and_overlapping_spans(spark):
+    rows = secret_texts() + [(1, "😀é token=abcdef12 eyJabc.eyJdef.ghi\n" * 500)]
+    df = documents(spark, rows)
+    spans = {r.path: [(s.start, s.end) for s in r.spans] for r in
+             secret_scans.findings_of_paths(df, secret_scans.scan_unseen(df)).collect()}
+    assert len(spans[1]) == 1000
+    for r, (id, text) in zip(secret_scans.redact(df).orderBy("doc_id").collect(), sorted(rows)):
+        assert r.doc_id == id and r.text == plain_redaction(text, spans[id])
+
+
+def test_columns_of_any_name_stay(spark):
+    names = ("__spans", "__blob", "__measures", "__row", "__judged_row", "__REDACT_blob",
+             "__m_words", "__redact")
+    df = documents(spark, [*EDGES, (30, "token=abcdef12 and more")]).withColumns(
+        {c: F.lit(c) for c in names})
+    redacted = secret_scans.redact(df)
+    assert redacted.columns == df.columns and redacted.count() == df.count()
+    assert redacted.where("doc_id = 30").first().text == "[secret] and more"
+    assert all(r[c] == c for r in redacted.collect() for c in names)
+    good = quality_rules.keep_good(df)
+    assert good.columns == df.columns
+    assert all(r[c] == c for r in good.collect() for c in names)
+    measured = quality_rules.quality_measures(df, into="m")
+    assert all(r.__getitem__("__m_words") == "__m_words" for r in measured.collect())
+
+
+def test_many_matches_in_one_text(spark):
+    import time
+
+    text = "token=abcdef12\n" * 32_000
+    df = documents(spark, [(1, text)])
+    started = time.perf_counter()
+    found = secret_scans.findings_of_paths(df, secret_scans.scan_unseen(df)).first().spans
+    assert [(s.start, s.end) for s in found] == [(15 * i, 15 * i + 14) for i in range(32_000)]
+    assert secret_scans.redact(df).first().text == "[secret]\n" * 32_000
+    assert time.perf_counter() - started < 30
+
+
+def test_a_kept_ledger_is_read_and_appended(spark, tmp_path):
+    folder = str(tmp_path / "ledger")
+    df = documents(spark, [(1, "token=abcdef12"), (2, "token=abcdef12"), (3, None)])
+    assert secret_scans.read_ledger(spark, folder) is None
+    first = secret_scans.scan_with_ledger(df, folder)
+    want = [tuple(r) for r in secret_scans.scan_unseen(df).where("size(spans) > 0").collect()]
+    assert [tuple(r) for r in first.collect()] == want
+    pairs = 2 * len(secret_scans.RULES)
+    assert secret_scans.read_ledger(spark, folder).count() == pairs
+    more = df.where("doc_id > 1").union(documents(spark, [(4, "secret: abcdefgh")]))
+    found = secret_scans.findings_of_paths(more, secret_scans.scan_with_ledger(more, folder))
+    assert {r.path: len(r.spans) for r in found.collect()} == {2: 1, 3: 0, 4: 1}
+    assert secret_scans.read_ledger(spark, folder).count() == pairs + len(secret_scans.RULES)
+    # a pair that two runs append at once
+    secret_scans.scan_unseen(df).write.mode("append").parquet(folder)
+    found = secret_scans.findings_of_paths(df, secret_scans.scan_with_ledger(df, folder))
+    assert {r.path: len(r.spans) for r in found.collect()} == {1: 1, 2: 1, 3: 0}
+    empty = str(tmp_path / "empty")
+    assert secret_scans.scan_with_ledger(df.limit(0), empty).count() == 0
+    assert secret_scans.scan_with_ledger(df, empty).count() == 1
+
+
 @pytest.mark.parametrize("html, text", [
     (None, ""), ("", ""), ("<p>", ""), ("plain &amp; simple", "plain & simple"),
     ("<body><nav>Menu</nav><article><h1>T</h1><p>One<br>two.<p>Three&nbsp;four</article>"
