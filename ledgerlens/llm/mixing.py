@@ -9,8 +9,9 @@ a short one; these go up a reduction tree until each source has one, whose fract
 
 Random numbers depend on the seed and the block only, and blocks on the documents only, so reruns
 agree. Defined results: a missing text has size 0; a missing source is a source of its own, last in
-order; a document of size 0 is taken 0 times; rows that share id, source and text are taken the same
-number of times; an empty table gives an empty result.
+order; a document of size 0 is taken 0 times; an empty table gives an empty result. Rows that share
+id, source and text are one unit: the copies wanted of them are added up, only what is missing to a
+whole number is rounded, and each of the rows gets an equal share, one more or less.
 """
 
 from __future__ import annotations
@@ -22,13 +23,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.text import whole, words
+from ledgerlens.llm.text import unused, whole, words
 from ledgerlens.plans.staging import stage
 
 WEIGHTS, VOLUME, MOST, SEED = (5.0, 2.0, 1.0), 1.5, 2.0, 17
 #: Documents that meet in one block, and fractions that meet in one node of the tree, on average.
 BLOCK, FAN = 10_000, 64
 CLOSE = 1e-9
+#: ``monotonically_increasing_id`` numbers the rows of a partition in its lower bits.
+PART_BITS = 33
 
 
 def source_targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, volume: float = VOLUME,
@@ -118,21 +121,35 @@ def copies(df: DataFrame, weights: Sequence[float] = WEIGHTS, volume: float = VO
     rows = stage(df.select(
         F.col(id).alias("id"), F.col(source).alias("source"),
         unit_key(id, source, text).alias("key"),
-        F.size(words(text)).cast("long").alias("size")), "sizes")
+        F.size(words(text)).cast("long").alias("size"),
+        F.monotonically_increasing_id().alias("row")), "sizes")
+    return copies_of_rows(rows, weights, volume, most, seed, block, fan).drop("row")
+
+
+def copies_of_rows(rows: DataFrame, weights: Sequence[float] = WEIGHTS, volume: float = VOLUME,
+                   most: float = MOST, seed: int = SEED, block: int = BLOCK,
+                   fan: int = FAN) -> DataFrame:
+    """``copies``, with ``row``, of a written table (id, source, key, size, row: its number)."""
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = stage(source_targets(sizes, weights, volume, most)
                     .withColumnRenamed("source", "target_source"), "targets")
     of_source = F.col("source").eqNullSafe(F.col("target_source"))
 
     wanted = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    units = (rows.where("size > 0").groupBy("key", "source").agg(F.first("size").alias("size"))
-             .join(targets, of_source)
-             .select("key", "rank", "size", wanted.alias("wanted")))
-    units = units.select(
-        "key", "rank", "size", F.xxhash64("key").alias("order"),
-        (F.col("wanted") - F.floor("wanted")).alias("open"), F.lit(0).cast("long").alias("extra"))
-    blocks = units.groupBy("rank").agg(F.ceil(F.count("*") / block).alias("n_blocks"))
-    first = stage(units.join(blocks, "rank")
+    part = F.shiftright("row", PART_BITS)  # a bounded number of rows in a row, whatever they hold
+    held = rows.where("size > 0").groupBy("key", part.alias("part")).agg(
+        F.first("source").alias("source"), F.first("size").alias("size"), F.count("*").alias("n"))
+    units = held.groupBy("key").agg(F.first("source").alias("source"),
+                                    F.first("size").alias("size"), F.sum("n").alias("n"))
+    units = stage(units.join(targets, of_source)
+                  .withColumn("wanted", wanted * F.col("n"))
+                  .withColumn("sure", F.floor("wanted"))
+                  .select("key", "rank", "size", "n", "sure",
+                          (F.col("wanted") - F.col("sure")).alias("open")), "units")
+    fractions = units.select("key", "rank", "size", F.xxhash64("key").alias("order"), "open",
+                             F.lit(0).cast("long").alias("extra"))
+    blocks = fractions.groupBy("rank").agg(F.ceil(F.count("*") / block).alias("n_blocks"))
+    first = stage(fractions.join(blocks, "rank")
                   .withColumn("block", F.pmod(F.shiftright("order", 8), "n_blocks"))
                   .select(*_COLUMNS).groupBy("rank", "block")
                   .applyInPandas(_node(seed), _SCHEMA), "rounded")
@@ -160,19 +177,37 @@ def copies(df: DataFrame, weights: Sequence[float] = WEIGHTS, volume: float = VO
     for done in settled[-1:]:
         decided = decided.union(done.select("key", F.coalesce(extra, lone).alias("extra")))
 
-    return (rows.join(decided, "key", "left")
+    # each part of a unit's rows gets its share, so that no unit is numbered in one task
+    total = F.col("sure") + F.col("extra")
+    shared = units.join(decided, "key").select(
+        "key", F.floor(total / F.col("n")).alias("each"), (total % F.col("n")).alias("more"))
+    earlier = Window.partitionBy("key").orderBy("part").rowsBetween(
+        Window.unboundedPreceding, -1)
+    shares = (held.select("key", "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias(
+        "before")).join(shared, "key"))
+    place = F.row_number().over(Window.partitionBy("key", "part").orderBy("row")) - 1
+    placed = rows.withColumn("part", part).withColumn("place", place)
+    more = (F.col("before") + F.col("place") < F.col("more")).cast("long")
+    return (placed.join(shares, ["key", "part"], "left")
             .join(targets, of_source)
-            .select("id", "source", "key", "size", "source_size", "target",
-                    F.when(F.col("size") > 0, F.floor(wanted) + F.coalesce("extra", F.lit(0)))
-                    .otherwise(0).cast("long").alias("copies")))
+            .select("id", "source", "key", "row", "size", "source_size", "target",
+                    F.coalesce(F.col("each") + more, F.lit(0)).cast("long").alias("copies")))
 
 
 def mix(df: DataFrame, weights: Sequence[float] = WEIGHTS, volume: float = VOLUME,
         most: float = MOST, seed: int = SEED, id: str = "doc_id", source: str = "source",
         text: str = "text") -> DataFrame:
-    """The rows of ``df``, each as often as the mix takes it."""
-    taken = (copies(df, weights, volume, most, seed, id, source, text).where("copies > 0")
-             .groupBy(F.col("key").alias("__key")).agg(F.first("copies").alias("__copies")))
-    return (df.withColumn("__key", unit_key(id, source, text)).join(taken, "__key")
-            .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))))
+    """The rows of ``df``, each as often as the mix takes it; columns and their names unchanged."""
+    own = unused(df, "__mix")
+    numbered = stage(df.withColumns({
+        f"{own}_key": unit_key(id, source, text), f"{own}_row": F.monotonically_increasing_id(),
+        f"{own}_size": F.size(words(text)).cast("long")}), "numbered")
+    taken = copies_of_rows(numbered.select(
+        F.col(id).alias("id"), F.col(source).alias("source"),
+        *[F.col(f"{own}_{c}").alias(c) for c in ("key", "size", "row")]),
+        weights, volume, most, seed).where("copies > 0")
+    taken = taken.select(F.col("row").alias(f"{own}_row"), F.col("copies").alias(f"{own}_copies"))
+    return (numbered.join(taken, f"{own}_row")
+            .withColumn(f"{own}_copy", F.explode(F.sequence(
+                F.lit(1), F.col(f"{own}_copies").cast("int"))))
             .select(*[F.col(f"`{c}`") for c in df.columns]))

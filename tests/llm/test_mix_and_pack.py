@@ -85,6 +85,35 @@ def test_mixed_rows(spark):
     assert mixing.mix(df.limit(0)).count() == 0
 
 
+def test_equal_rows_meet_the_target(spark):
+    rows = [(7, "a", "some equal words here")] * 1000
+    rows += [(100 + i, "a", "w " * (i + 1)) for i in range(10)]
+    rows += [(200 + i, "b", "w " * 40) for i in range(300)] + [(9, "b", None)] * 3
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(6)
+    got = mixing.copies(df, block=50, fan=4).collect()
+    assert len(got) == len(rows)
+    for name, longest in (("a", 10), ("b", 40)):
+        own = [r for r in got if r.source == name]
+        taken = sum(r.size * r.copies for r in own)
+        assert abs(taken - own[0].target) <= longest
+    assert len({r.copies for r in got if r.id == 7}) <= 2
+    assert {r.copies for r in got if r.id == 9} == {0}
+    wanted = {r.id: (r.id, r.size * r.copies) for r in got if r.id != 7}
+    again = mixing.copies(df.repartition(3), block=50, fan=4).collect()
+    assert wanted == {r.id: (r.id, r.size * r.copies) for r in again if r.id != 7}
+    mixed = mixing.mix(df).groupBy("doc_id").count().collect()
+    whole = mixing.copies(df).groupBy("id").agg(F.sum("copies")).where("sum(copies) > 0").collect()
+    assert sorted(map(tuple, mixed)) == sorted(map(tuple, whole))
+
+
+def test_mixed_rows_keep_columns_of_any_name(spark):
+    names = ("__key", "__mix_row", "__MIX", "___mix_key", "__copies", "row", "size", "part")
+    df = corpus(spark, 60).withColumns({c: F.concat(F.lit(c), "doc_id") for c in names})
+    mixed = mixing.mix(df)
+    assert mixed.columns == df.columns
+    assert set(mixed.collect()) <= set(df.collect())
+
+
 def test_plan_is_best_fit_decreasing():
     rng = random.Random(1)
     for trial in range(300):
