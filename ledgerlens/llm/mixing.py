@@ -151,7 +151,9 @@ def copies_of_rows(rows: DataFrame, weights: Sequence[float] = WEIGHTS, volume:
     blocks = fractions.groupBy("rank").agg(F.ceil(F.count("*") / block).alias("n_blocks"))
     first = stage(fractions.join(blocks, "rank")
                   .withColumn("block", F.pmod(F.shiftright("order", 8), "n_blocks"))
-                  .select(*_COLUMNS).groupBy("rank", "block")
+                  .select(*_COLUMNS)
+                  # the join leaves a source in one task, which would do for the groups
+                  .repartition("rank", "block").groupBy("rank", "block")
                   .applyInPandas(_node(seed), _SCHEMA), "rounded")
 
     # up the tree: each pass leaves at most one open fraction per node of the level
