@@ -135,4 +135,10 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_quality_rules": oracle.QUALITY_RULES}
+    return {
+        "op1_suffix_array_dedup": oracle.SUFFIX_ARRAY_DEDUP,
+        "op3_embedding_dedup": oracle.EMBEDDING_DEDUP,
+        "op4_quality_rules": oracle.QUALITY_RULES,
+        "op5_secret_scans": oracle.SECRET_SCANS,
+        "op10_substring_dedup": oracle.SUBSTRING_DEDUP,
+    }
