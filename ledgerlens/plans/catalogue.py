@@ -179,9 +179,11 @@ def _published_outputs(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _arriving(spark: SparkSession, folder: str, path: str):
-    """Events that arrive in two deliveries, a few files a batch; yields the stream of each.
+    """Events that arrive in two deliveries, half the files there are a batch; yields the stream of
+    each.
 
     The events are dealt by hash, so every delivery holds rows of all days, long past ones included.
+    A larger table is written to more files, which make larger batches, not more of them.
     """
     schema = driver_tables.SCHEMAS["events"]
     events = spark.read.schema(schema).parquet(f"{folder}/events.parquet")
@@ -189,7 +191,8 @@ def _arriving(spark: SparkSession, folder: str, path: str):
     for parts in ((0, 1, 2), (3,)):
         for p in parts:
             events.where(part == p).write.mode("append").parquet(f"{path}/arrived")
-        yield (spark.readStream.schema(schema).option("maxFilesPerTrigger", 2)
+        files = len(spark.read.schema(schema).parquet(f"{path}/arrived").inputFiles())
+        yield (spark.readStream.schema(schema).option("maxFilesPerTrigger", max(2, -(-files // 2)))
                .parquet(f"{path}/arrived"))
 
 

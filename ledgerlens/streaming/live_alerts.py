@@ -14,6 +14,7 @@ very many rows sends few.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from contextlib import contextmanager
 from datetime import date, timedelta
@@ -41,6 +42,8 @@ SETTINGS = {
     "spark.sql.streaming.noDataMicroBatches.enabled": "false",
 }
 NO_DAY = ""  # the key of rows without a date
+#: Cities of a card that are kept beside its figures; each city beyond them is an entry of its own.
+NAMED = 200
 
 
 def combined(transactions: DataFrame) -> DataFrame:
@@ -67,7 +70,12 @@ def _plus(a: int | None, b: int | None) -> int | None:
 
 
 class CardLimits(StatefulProcessor):
-    """The state of one card."""
+    """The state of one card.
+
+    Each call on the state is a trip to the JVM and back, so a card's open days are one entry (JSON,
+    under the oldest of them), which ``keep_days`` bounds, and its cities are beside its figures. A
+    batch takes the same few calls for a card however many days and cities it brings.
+    """
 
     def __init__(self, thresholds: Thresholds, keep_days: int, clear_after_ms: int):
         self.limits, self.keep, self.clear_after = thresholds, timedelta(keep_days), clear_after_ms
@@ -75,18 +83,30 @@ class CardLimits(StatefulProcessor):
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.days = handle.getMapState("days", "day string", "transactions bigint, cents bigint")
+        self.days = handle.getMapState("days", "day string", "held string")
         self.cities = handle.getMapState("cities", "city string", "seen boolean")
         self.card = handle.getValueState(
-            "card", "cities bigint, newest string, oldest string, clearing boolean")
+            "card", "cities bigint, named string, newest string, oldest string, clearing boolean")
 
     def _over(self, transactions: int, amount: int | None) -> dict[str, bool]:
         return {COUNT: transactions > self.limits.daily_count,
                 AMOUNT: amount is not None and amount > self.limit_cents}
 
+    def _closed(self, newest: str) -> str:
+        return (date.fromisoformat(newest) - self.keep).isoformat()
+
+    def _held(self, oldest: str | None) -> dict[str, list]:
+        return json.loads(self.days.getValue((oldest or NO_DAY,))[0])
+
+    def _hold(self, held: dict[str, list], oldest: str | None, before: str | None) -> None:
+        if oldest != before:
+            self.days.removeKey((before or NO_DAY,))
+        self.days.updateValue((oldest or NO_DAY,), (json.dumps(held),))
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        known, newest, oldest, clearing = self.card.get() or (0, None, None, False)
-        closed = (date.fromisoformat(newest) - self.keep).isoformat() if newest else ""
+        card = self.card.get()
+        known, names, newest, oldest, clearing = card or (0, "[]", None, None, False)
+        closed = self._closed(newest) if newest else ""
         new_days, new_cities = {}, set()
         for r in rows:
             day = r.day.isoformat() if r.day else NO_DAY
@@ -94,41 +114,48 @@ class CardLimits(StatefulProcessor):
             new_days[day] = (before[0] + r.transactions, _plus(before[1], r.cents))
             if r.city is not None:
                 new_cities.add(r.city)
+        held, first, changed = self._held(oldest) if card else {}, oldest, False
         for day, (n, amount) in sorted(new_days.items()):
             if day != NO_DAY and day < closed:
                 yield self._row(key, day, LATE, True, n, amount, None)
                 continue
-            held = self.days.getValue((day,)) if self.days.containsKey((day,)) else (0, None)
-            total = (held[0] + n, _plus(held[1], amount))
-            self.days.updateValue((day,), total)
-            was = self._over(*held)
+            was = held.get(day, (0, None))
+            total = held[day] = (was[0] + n, _plus(was[1], amount))
+            changed, was = True, self._over(*was)
             for criterion, over in self._over(*total).items():
                 if over != was[criterion]:
                     yield self._row(key, day, criterion, over, *total, None)
             if day != NO_DAY:
                 newest, oldest = max(newest or day, day), min(oldest or day, day)
-        found = known
+        if changed:
+            self._hold(held, oldest, first if card else oldest)
+        named = json.loads(names)
+        found, new_cities = known, new_cities.difference(named)
         for city in sorted(new_cities):
-            if not self.cities.containsKey((city,)):
+            if len(named) < NAMED:
+                named.append(city)
+            elif not self.cities.containsKey((city,)):
                 self.cities.updateValue((city,), (True,))
-                found += 1
+            else:
+                continue
+            found += 1
         if known <= self.limits.cities < found:
             yield self._row(key, NO_DAY, CITIES, True, None, None, found)
-        if newest and not clearing and oldest < (
-                date.fromisoformat(newest) - self.keep).isoformat():
+        if newest and not clearing and oldest < self._closed(newest):
             self.handle.registerTimer(
                 timerValues.getCurrentProcessingTimeInMs() + self.clear_after)
             clearing = True
-        self.card.update((found, newest, oldest, clearing))
+        now = (found, json.dumps(named) if new_cities else names, newest, oldest, clearing)
+        if now != card:
+            self.card.update(now)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        found, newest, _, _ = self.card.get()
-        closed = (date.fromisoformat(newest) - self.keep).isoformat()
-        days = [k[0] for k in self.days.keys() if k[0] != NO_DAY]
-        for day in days:
-            if day < closed:
-                self.days.removeKey((day,))
-        self.card.update((found, newest, min(d for d in days if d >= closed), False))
+        found, names, newest, oldest, _ = self.card.get()
+        closed = self._closed(newest)
+        held = {d: v for d, v in self._held(oldest).items() if d == NO_DAY or d >= closed}
+        first = min(d for d in held if d != NO_DAY)
+        self._hold(held, first, oldest)
+        self.card.update((found, names, newest, first, False))
         yield from ()
 
     @staticmethod

@@ -4,6 +4,7 @@ import random
 from datetime import timedelta
 
 import pytest
+from pyspark.sql import Row
 
 from ledgerlens.config import Thresholds
 from ledgerlens.operators import indicators
@@ -91,6 +92,75 @@ def test_equals_the_batch_analysis(spark, tmp_path):
     assert got == want
 
 
+class Kept:
+    """One state variable of a card in memory; every call is counted."""
+
+    def __init__(self, calls):
+        self.calls, self.held = calls, {}
+
+    def __getattr__(self, name):
+        def call(*given):
+            self.calls.append(name)
+            key, value = (given if name == "updateValue" else (given or (None,))[0:1] * 2)
+            if name in ("get", "getValue"):
+                return self.held.get(None if name == "get" else key)
+            if name == "containsKey":
+                return key in self.held
+            if name == "removeKey":
+                return self.held.pop(key, None)
+            if name == "update":
+                self.held[None] = value
+            else:
+                assert name == "updateValue"
+                self.held[key] = value
+        return call
+
+
+class Handle:
+    def __init__(self):
+        self.calls = []
+
+    def getMapState(self, *_):
+        return Kept(self.calls)
+
+    getValueState = getMapState
+
+
+def one_batch(limits, days, cities):
+    got = limits.handleInputRows(
+        (1,), [Row(day=NOON.date() + timedelta(d), city=c, transactions=2, cents=150)
+               for d in days for c in cities], None)
+    return [(r.criterion, r.over, r.transactions, r.cities) for r in got]
+
+
+def test_calls_on_the_state_do_not_grow_with_days_and_cities():
+    counts = []
+    for n in (1, 60):
+        handle = Handle()
+        limits = live_alerts.CardLimits(Thresholds(2 * n, n, 1e9), 100, 0)
+        limits.init(handle)
+        names = [f"c{k:03}" for k in range(n)]
+        assert one_batch(limits, range(n), names) == []
+        handle.calls.clear()
+        assert one_batch(limits, range(n), [*names, "new"]) == [
+            (COUNT, True, 4 * n + 2, None)] * n + [(CITIES, True, None, n + 1)]
+        counts.append(len(handle.calls))
+    assert counts[0] == counts[1] <= 4
+
+
+def test_cities_beyond_the_named_ones_are_counted_once():
+    handle = Handle()
+    cities = live_alerts.NAMED + 50
+    limits = live_alerts.CardLimits(Thresholds(10 ** 9, cities, 1e9), 100, 0)
+    limits.init(handle)
+    names = [f"c{k:04}" for k in range(cities)]
+    for _ in range(2):
+        for at in range(0, cities, 70):
+            assert one_batch(limits, [1], names[at:at + 70]) == []
+    assert one_batch(limits, [0], ["more"]) == [(CITIES, True, None, cities + 1)]
+    assert len(limits.cities.held) == 51
+
+
 @pytest.mark.parametrize("name", list(live_alerts.SETTINGS))
 def test_settings_are_put_back(spark, name):
     before = spark.conf.get(name, None)
