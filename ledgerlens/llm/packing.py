@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,8 +33,12 @@ CAPACITY, CLOSING_ID = 2048, 0
 REMEMBERED, MEMORABLE = 1_000_000, 64
 #: New words that are encoded as one text.
 TOGETHER = 500
-_CLOSING, _ALNUM = b".,;:!?|%&*#$", frozenset(
-    b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")
+#: Bytes of texts that are split together, and words whose ids are put together at once.
+SPLIT, GATHERED = 16_000_000, 1_000_000
+#: Words that are letters in every version of Unicode.
+LETTERS = "^[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+$"
+_CLOSING, _ALNUM = ".,;:!?|%&*#$", np.zeros(256, bool)
+_ALNUM[list(b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")] = True
 #: Pieces that one numbering group holds on average, and groups a length at least.
 NUMBERED, SALTS = 500_000, 64
 
@@ -44,10 +49,17 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def _spans(starts: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The positions of spans of ``n`` from ``starts``, one span after the other."""
+    ends = np.cumsum(n)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + n, n)
+
+
 class WordIds:
     """Ids of texts under a tokenizer that never looks across ASCII white space.
 
-    The ids of each word are remembered, so a text costs one look-up a word. Of a new word, the
+    Arrow splits many texts and numbers their words, so each different word is looked up once, in
+    the words remembered, and no step but the tokenizer's goes word by word. The
     closing punctuation is split off where the tokenizer does so too (behind an ASCII letter or
     digit), and ASCII capitals are lowered as the tokenizer lowers them. What is letters only is
     encoded many words at once and cut behind the tokens that end a word.
@@ -60,58 +72,86 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-
-    def _encode(self, new: list[bytes]) -> None:
-        known, encode = self.known, self.tokenizer.encode_batch_fast
-        letters, other = [], []
-        for w in new:
-            letters.append(w) if w.decode().lower().isalpha() else other.append(w)
-        coded = encode([" ".join(w.decode() for w in letters[i:i + TOGETHER])
-                        for i in range(0, len(letters), TOGETHER)], add_special_tokens=False)
-        for i, c in enumerate(coded):
-            words, ids = letters[i * TOGETHER:(i + 1) * TOGETHER], np.array(c.ids, "<u4")
-            cuts = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
-            if len(cuts) != len(words):
-                other += words
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known = pa.array([], pa.string())  # the n-th one has the next self.n[n] of self.ids
+        self.ids, self.n = np.zeros(0, "<u4"), np.zeros(0, np.int64)
+
+    def _encode(self, new: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """Some words in another order, their ids, and the number of ids of each."""
+        plain = pc.match_substring_regex(new, LETTERS)
+        letters, other = new.filter(plain), new.filter(pc.invert(plain)).to_pylist()
+        words, joined, counts = [], [], []
+        runs = [letters[i:i + TOGETHER] for i in range(0, len(letters), TOGETHER)]
+        texts = [" ".join(run.to_pylist()) for run in runs]
+        encode = self.tokenizer.encode_batch_fast
+        for run, coded in zip(runs, encode(texts, add_special_tokens=False)):
+            ids = np.array(coded.ids, "<u4")
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) != len(run):
+                other += run.to_pylist()
                 continue
-            raw, at = ids.tobytes(), 0
-            for w, upto in zip(words, cuts):
-                known[w] = raw[at:upto]
-                at = upto
-        coded = encode([w.decode() for w in other], add_special_tokens=False)
-        known.update((w, np.array(c.ids, "<u4").tobytes()) for w, c in zip(other, coded))
-
-    def __call__(self, text: bytes) -> bytes:
-        """Little-endian 32-bit ids of UTF-8 text, without special tokens."""
-        words, known = text.split(), self.known
-        new = {w for w in words if w not in known}
-        if new:
-            if len(known) > REMEMBERED:
-                known.clear()
-                new = set(words)
-            parts = {}
-            for w in new:
-                core = w.rstrip(_CLOSING)
-                if b"<" in w:  # may hold a special token
-                    parts[w] = (w, b"")
-                elif core and core[-1] in _ALNUM:
-                    parts[w] = (core.lower(), w[len(core):])
-                else:
-                    parts[w] = (w.lower(), b"")
-            wanted = {x for pair in parts.values() for x in pair if x and x not in known}
-            self._encode(list(wanted))
-            for w, (core, tail) in parts.items():
-                known[w] = known[core] + known[tail] if tail else known[core]
-        ids = b"".join(map(known.__getitem__, words))
-        for w in new:
-            if len(w) > MEMORABLE:
-                known.pop(w, None)
-                known.pop(parts[w][0], None)
-        return ids
+            words.append(run)
+            joined.append(ids)
+            counts.append(np.diff(ends, prepend=0))
+        coded = [np.array(c.ids, "<u4") for c in encode(other, add_special_tokens=False)]
+        words.append(pa.array(other, pa.string()))
+        counts.append(np.fromiter(map(len, coded), np.int64, len(coded)))
+        return (pa.concat_arrays(words), np.concatenate([*joined, *coded, self.ids[:0]]),
+                np.concatenate(counts))
+
+    def _of_words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of different words, joined, and the number of ids of each."""
+        whole = pc.binary_length(words).to_numpy()
+        core = pc.ascii_rtrim(words, characters=_CLOSING)
+        size = pc.binary_length(core).to_numpy()
+        data = np.frombuffer(words.buffers()[2] or b"", np.uint8)
+        starts = np.frombuffer(words.buffers()[1], np.int32)[words.offset:][:len(words)] + size
+        special = pc.match_substring(words, "<")  # may hold a special token
+        cut = (size > 0) & ~special.to_numpy(zero_copy_only=False)
+        cut[cut] = _ALNUM[data[starts[cut] - 1]]
+        core = pc.if_else(pa.array(cut), core, words)
+        core = pc.if_else(special, core, pc.ascii_lower(core))
+        size = np.where(cut, whole - size, 0)
+        tail = pa.StringArray.from_buffers(
+            len(words), pa.py_buffer(np.append(0, np.cumsum(size)).astype(np.int32)),
+            pa.py_buffer(data[_spans(starts, size)]))
+        part = pa.concat_arrays([core, tail]).dictionary_encode()
+        wanted = part.dictionary
+        if len(self.known) > REMEMBERED:
+            self._forget()
+        new = wanted.filter(pc.is_null(pc.index_in(wanted, self.known)))
+        short = pc.less_equal(pc.binary_length(new), MEMORABLE)
+        for some, keep in ((new.filter(short), True), (new.filter(pc.invert(short)), False)):
+            fresh, ids, n = self._encode(some)
+            known = pa.concat_arrays([self.known if keep else known, fresh])
+            joined = np.concatenate([self.ids if keep else joined, ids])
+            counts = np.concatenate([self.n if keep else counts, n])
+            if keep:
+                self.known, self.ids, self.n = known, joined, counts
+        # each word is its core, then its tail
+        at = pc.index_in(wanted, known).to_numpy()[part.indices.to_numpy()]
+        at = at.reshape(2, -1).T.ravel()
+        n = counts[at]
+        return joined[_spans((np.cumsum(counts) - counts)[at], n)], n.reshape(-1, 2).sum(axis=1)
+
+    def __call__(self, texts: pa.Array) -> Iterator[bytes]:
+        """Little-endian 32-bit ids of each UTF-8 text, without special tokens."""
+        split = pc.ascii_split_whitespace(texts.cast(pa.string()))
+        coded = split.flatten().dictionary_encode()
+        vocabulary, n = self._of_words(coded.dictionary)
+        starts, word = np.cumsum(n) - n, coded.indices.to_numpy()
+        bounds = split.offsets.to_numpy()
+        for at, upto in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+            found = []
+            for some in range(at, upto, GATHERED):
+                w = word[some:min(upto, some + GATHERED)]
+                found.append(vocabulary[_spans(starts[w], n[w])].tobytes())
+            yield b"".join(found)
 
 
 def word_ids(path: str) -> WordIds:
@@ -125,6 +165,17 @@ def word_ids(path: str) -> WordIds:
     return kept.__dict__[path]
 
 
+def runs(texts: pa.Array) -> Iterator[pa.Array]:
+    """``texts`` in slices of about ``SPLIT`` bytes, a longer text being a slice of its own."""
+    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < len(texts):
+        before = ends[at - 1] if at else 0
+        upto = max(at + 1, int(np.searchsorted(ends, before + SPLIT, side="right")))
+        yield texts.slice(at, upto - at)
+        at = upto
+
+
 def pieces(df: DataFrame, id: str = "doc_id", text: str = "text", tokenizer: str | None = None,
            capacity: int = CAPACITY, closing: int = CLOSING_ID, ids: bool = False) -> DataFrame:
     """(id, piece, start, length, crc32) of every piece; with ``ids`` also its token ids."""
@@ -135,8 +186,9 @@ def pieces(df: DataFrame, id: str = "doc_id", text: str = "text", tokenizer: str
         coder, end = word_ids(path), np.array([closing], "<u4").tobytes()
         for part in parts:
             row, cut = [], []
-            for i, t in enumerate(part.column(1)):
-                coded = coder(t.as_py()) + end
+            texts = (t for run in runs(part.column(1)) for t in coder(run))
+            for i, t in enumerate(texts):
+                coded = t + end
                 for k, at in enumerate(range(0, len(coded), 4 * capacity)):
                     row.append(i)
                     cut.append((k, k * capacity, coded[at:at + 4 * capacity]))

@@ -5,6 +5,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from brute import best_fit, fingerprint, secrets, words
 from pyspark.sql import functions as F
@@ -142,6 +143,42 @@ TEXTS = ["a <|endoftext|> b", "x<|startoftext|>y É́e ̈a", "don't  we'll\x1c\x
          "word, " * 3000, "x" * 50_000]
 
 
+def test_many_texts_cost_few_calls_of_the_tokenizer():
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(packing.default_tokenizer())
+    coder = packing.WordIds(packing.default_tokenizer())
+    asked = []
+
+    class Counting:
+        def encode_batch_fast(self, texts, **options):
+            asked.append(len(texts))
+            return plain.encode_batch_fast(texts, **options)
+
+    coder.tokenizer = Counting()
+    rng = random.Random(3)
+    texts = [" ".join("".join(rng.choices("abcXYZé.,'1<ß", k=rng.randint(1, 90 if i % 9 else 9)))
+                      for _ in range(rng.randint(0, 12))) for i in range(400)] + TEXTS
+    for part in (texts, texts[::-1], ["", " \t\n"], []):
+        got = [np.frombuffer(x, "<u4").tolist() for x in coder(pa.array(
+            [t.encode() for t in part], pa.binary()))]
+        assert got == [plain.encode(t, add_special_tokens=False).ids for t in part]
+    assert len(asked) <= 16 and max(map(len, coder.known.to_pylist())) <= packing.MEMORABLE
+
+
+def test_remembered_words_are_forgotten_and_texts_split_and_put_together_in_parts(monkeypatch):
+    monkeypatch.setattr(packing, "REMEMBERED", 5)
+    monkeypatch.setattr(packing, "SPLIT", 40)
+    monkeypatch.setattr(packing, "GATHERED", 3)
+    coder = packing.WordIds(packing.default_tokenizer())
+    texts = pa.array([t.encode() for t in TEXTS * 2], pa.binary())
+    runs = list(packing.runs(texts))
+    assert len(runs) > 4 and pa.concat_arrays(runs).equals(texts) and not list(packing.runs(texts[:0]))
+    got = [x for run in runs for x in coder(run)]
+    whole = packing.WordIds(packing.default_tokenizer())
+    assert got == list(whole(texts)) and got[0] and got[:len(TEXTS)] == got[len(TEXTS):]
+
+
 def test_pieces_round_trip(spark):
     from tokenizers import Tokenizer
 
